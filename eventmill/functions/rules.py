@@ -42,6 +42,9 @@ RULES = (
 UNKNOWN_MESSAGE, UNKNOWN_STAGE = "unknown validation error", "UNKNOWN"
 ALWAYS_REQUIRED = ("sdk_key", "event_type", "event_time", "session_id", "page_url")
 
+# Parsed events carry the event time both as sent and as a timestamp.
+_TEXT_OF = {"event_time": "event_time_text"}
+
 
 def _any_blank(fields: tuple[str, ...]) -> Column:
     return reduce(Column.__or__, (is_blank(F.col(field)) for field in fields))
@@ -55,7 +58,7 @@ def _broken() -> dict[str, Column]:
         "MISSING_EVENT_ID": is_blank(F.col("event_id")),
         "MISSING_EVENT_TYPE": is_blank(kind),
         "INVALID_EVENT_TYPE": ~kind.isin(*EVENT_TYPES),
-        "MISSING_EVENT_TIME": is_blank(F.col("event_time_text")),
+        "MISSING_EVENT_TIME": is_blank(F.col(_TEXT_OF["event_time"])),
         "INVALID_EVENT_TIME_FORMAT": F.col("event_time").isNull(),
         "MISSING_SESSION_ID": is_blank(F.col("session_id")),
         "MISSING_PAGE_URL": is_blank(F.col("page_url")),
@@ -90,7 +93,8 @@ def all_errors() -> Column:
     This is the sender-side check: it asks for neither an event id nor a known type.
     """
     common = [
-        F.when(is_blank(F.col(field)), F.lit(f"{field} is required")) for field in ALWAYS_REQUIRED
+        F.when(is_blank(F.col(_TEXT_OF.get(field, field))), F.lit(f"{field} is required"))
+        for field in ALWAYS_REQUIRED
     ]
     specific = [
         F.when(

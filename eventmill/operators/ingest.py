@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.text import is_blank, stripped
 from ..functions.times import partition_day
@@ -19,11 +19,15 @@ LINE_INVALID_JSON, LINE_NOT_AN_OBJECT = "invalid json", "invalid record type"
 LINE_WITHOUT_EVENT = "missing event object"
 DEFAULT_MAX_EVENTS = 500
 
-_LIFTED = ("event_id", "event_type", "event_time", "session_id", "page_url")
+_LIFTED = T.StructType([
+    T.StructField(name, T.StringType())
+    for name in ("event_id", "event_type", "event_time", "session_id", "page_url")
+])
 
 
-def _is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT<")
+def _is_object(value: Column | str, path: str = "$") -> Column:
+    """Whether a variant holds an object at `path`: only an object can be read as a struct."""
+    return F.try_variant_get(value, path, "struct<>").isNotNull()
 
 
 def _length(array: str) -> Column:
@@ -52,27 +56,22 @@ def normalise(messages: DataFrame, loaded_at: Column) -> DataFrame:
     look like an object. The events themselves are kept as the text they came in, so their key
     order survives.
     """
-    opened = messages.withColumn("loaded_at", loaded_at).withColumn(
-        "envelope", F.try_parse_json("value")
-    ).withColumns({
-        "elements": F.try_variant_get("envelope", "$.events", "array<variant>"),
+    opened = messages.withColumns({
+        "loaded_at": loaded_at,
+        "envelope": F.try_parse_json("value"),
         "texts": F.from_json("value", "events array<string>")["events"],
+    }).withColumns({
+        "elements": F.try_variant_get("envelope", "$.events", "array<variant>"),
+        "texts": F.coalesce("texts", F.array().cast("array<string>")),
         "sdk_key": stripped(F.try_variant_get("envelope", "$.sdk_key", "string")),
         "received_at": stripped(F.try_variant_get("envelope", "$.received_at", "string")),
     })
-    with_text = F.transform(
-        "elements",
-        lambda element, at: F.struct(
-            element.alias("element"),
-            F.coalesce(F.get("texts", at), F.to_json(element)).alias("text"),
-        ),
-    )
-    events = F.transform(
-        F.filter(with_text, lambda pair: _is_object(pair["element"])), lambda pair: pair["text"]
-    )
+    # Paired up outside the lambdas: an expression inside one is evaluated per element.
+    pairs = F.filter(F.arrays_zip("elements", "texts"), lambda pair: _is_object(pair["elements"]))
+    events = F.transform(pairs, lambda pair: F.coalesce(pair["texts"], F.to_json(pair["elements"])))
     reason = (
         F.when(F.col("envelope").isNull(), INVALID_JSON)
-        .when(~_is_object(F.col("envelope")), NOT_AN_OBJECT)
+        .when(~_is_object("envelope"), NOT_AN_OBJECT)
         .when(is_blank(F.col("sdk_key")), MISSING_KEY)
         .when(_length("elements") < 1, EVENTS_NOT_A_LIST)
         .when(_length("events") < 1, NO_EVENT_OBJECT)
@@ -90,9 +89,18 @@ def normalise(messages: DataFrame, loaded_at: Column) -> DataFrame:
 
 
 def explode_events(normalised: DataFrame) -> DataFrame:
-    """One row per event object of the usable messages; elements of other kinds are dropped."""
-    usable = normalised.filter("reason is null")
-    return usable.withColumn("event", F.explode("events")).drop("events", "reason", "value")
+    """One row per event object of the usable messages; elements of other kinds are dropped.
+
+    Unusable messages explode to a NULL row that is filtered out afterwards. A filter on
+    `reason`, or the one Spark derives for a plain explode, would be moved ahead of the
+    envelope parsing and repeat it.
+    """
+    usable = F.when(F.col("reason").isNull(), F.col("events"))
+    return (
+        normalised.withColumn("event", F.explode_outer(usable))
+        .filter("event is not null")
+        .drop("events", "reason", "value")
+    )
 
 
 def raw_lines(exploded: DataFrame) -> DataFrame:
@@ -104,8 +112,10 @@ def raw_lines(exploded: DataFrame) -> DataFrame:
     )
 
 
-def _lifted_fields() -> list[Column]:
-    return [F.get_json_object("event", f"$.{name}").alias(name) for name in _LIFTED]
+def _with_lifted(events: DataFrame) -> DataFrame:
+    """Add the event fields Bronze carries as columns, from one parse of the event text."""
+    opened = events.withColumn("lifted", F.from_json("event", _LIFTED))
+    return opened.withColumns({name: F.col(f"lifted.{name}") for name in _LIFTED.names})
 
 
 def source_of_message() -> Column:
@@ -123,10 +133,10 @@ def batch_label(prefix: str, moment: Column, number: int) -> Column:
 
 def bronze_from_messages(exploded: DataFrame, batch_number: int = 0) -> DataFrame:
     """Bronze rows of a stream batch, with the day they are filed under as `date`."""
-    return exploded.select(
+    return _with_lifted(exploded).select(
         "received_at",
         "sdk_key",
-        *_lifted_fields(),
+        *_LIFTED.names,
         F.col("event").alias("raw_event_json"),
         _stamp("loaded_at").alias("exported_at"),
         batch_label("kafka_bronze", F.col("loaded_at"), batch_number).alias("export_batch_id"),
@@ -152,17 +162,14 @@ def dead_letters(normalised: DataFrame) -> DataFrame:
 
 def read_records(lines: DataFrame) -> DataFrame:
     """Raw lines (line, file_key) to records, with `problem` set where a line is no record."""
-    record = F.try_parse_json("line")
-    event = F.try_variant_get("record", "$.event", "variant")
     problem = (
         F.when(F.col("record").isNull(), LINE_INVALID_JSON)
-        .when(~_is_object(F.col("record")), LINE_NOT_AN_OBJECT)
-        .when(~F.coalesce(_is_object(event), F.lit(False)), LINE_WITHOUT_EVENT)
+        .when(~_is_object("record"), LINE_NOT_AN_OBJECT)
+        .when(~_is_object("record", "$.event"), LINE_WITHOUT_EVENT)
     )
     return (
-        lines.withColumn("record", record)
+        lines.withColumns({"record": F.try_parse_json("line"), "fields": F.from_json("line", RAW_LINE)})
         .withColumn("problem", problem)
-        .withColumn("fields", F.from_json("line", RAW_LINE))
         .withColumns({name: F.col(f"fields.{name}") for name in RAW_LINE.names})
         .drop("record", "fields")
     )
@@ -171,19 +178,18 @@ def read_records(lines: DataFrame) -> DataFrame:
 def strict(records: DataFrame) -> DataFrame:
     """Fail the job, naming the problem, the file and the line, if any line is no record."""
     complaint = F.concat("problem", F.lit(" in "), "file_key", F.lit(": "), "line")
-    return records.filter(
-        F.when(F.col("problem").isNull(), True).otherwise(F.raise_error(complaint).cast("boolean"))
-    )
+    checked = F.when(F.col("problem").isNull(), F.col("event")).otherwise(F.raise_error(complaint))
+    return records.withColumn("event", checked)
 
 
 def bronze_from_records(records: DataFrame, exported_at: Column, batch_number: int = 0) -> DataFrame:
     """Bronze rows of raw file records."""
     moment = records.withColumn("exported_moment", exported_at)
     return conform(
-        moment.select(
+        _with_lifted(moment).select(
             "received_at",
             "sdk_key",
-            *_lifted_fields(),
+            *_LIFTED.names,
             F.col("event").alias("raw_event_json"),
             _stamp("exported_moment").alias("exported_at"),
             batch_label("bronze", F.col("exported_moment"), batch_number).alias("export_batch_id"),

@@ -32,6 +32,8 @@ _USER_AGENTS = (
     "",
 )
 
+_WHOLE = 1_000_000  # longer than any record
+
 # One request of this many events, then ordinary ones, out of every block of events.
 _BLOCK, _BIG_REQUEST, _REQUEST = 1200, 600, 20
 _REQUESTS_PER_BLOCK = 1 + (_BLOCK - _BIG_REQUEST) // _REQUEST
@@ -184,15 +186,17 @@ def messages(events: DataFrame) -> DataFrame:
     from .topic import envelope_text
 
     r = F.col("r")
-    good = envelope_text(F.col("received_at"), F.col("sdk_key"), F.col("events"))
-    # Elements that are no objects, put in front of the good ones.
-    mixed = F.regexp_replace(good, r'"events":\[', '"events":[5,"{fake",null,')
+    # Elements that are no objects are put in front of the others.
+    list_start = F.when(r % 13 == 0, '"events":[5,"{fake",null,').otherwise('"events":[')
+    good = F.regexp_replace(
+        envelope_text(F.col("received_at"), F.col("sdk_key"), F.col("events")),
+        F.lit(r'"events":\['), list_start,
+    )
     value = (
         F.when(r % 23 == 0, "not json {")
         .when(r % 29 == 0, F.lit('[{"sdk_key":"shop_0"}]'))
         .when(r % 41 == 0, F.lit('{"sdk_key":"shop_1","events":{"event_id":"evt_1"}}'))
         .when(r % 47 == 0, F.lit('{"sdk_key":"shop_2","events":[5,"{x"]}'))
-        .when(r % 13 == 0, mixed)
         .otherwise(good)
     )
     return requests(events).select(
@@ -216,14 +220,20 @@ def raw_lines(events: DataFrame) -> DataFrame:
         _numbered_name("shop_", F.col("u") % 5).alias("sdk_key"),
         "event",
     ))
-    line = (
-        F.when(_every(101), F.substring(record, 1, 40))
-        .when(_every(103), F.concat(F.lit("["), record, F.lit("]")))
-        .when(_every(107), F.lit('{"received_at":"2024-01-01T00:00:00Z","sdk_key":"shop_0"}'))
-        .when(_every(109), F.lit('{"sdk_key":"shop_0","event":"{}"}'))
+    # Broken lines are made by cutting the record short and putting text around it.
+    kept_length = F.when(_every(101), 40).when(_every(103), _WHOLE).when(
+        _every(107) | _every(109) | _every(113), 0
+    ).otherwise(_WHOLE)
+    before = F.when(~_every(101) & _every(103), "[").otherwise("")
+    after = (
+        F.when(_every(101), "")
+        .when(_every(103), "]")
+        .when(_every(107), '{"received_at":"2024-01-01T00:00:00Z","sdk_key":"shop_0"}')
+        .when(_every(109), '{"sdk_key":"shop_0","event":"{}"}')
         .when(_every(113), "  ")
-        .otherwise(record)
+        .otherwise("")
     )
+    line = F.concat(before, F.substring(record, F.lit(1), kept_length), after)
     return event_objects(events).select("n", line.alias("line"), key.alias("file_key"))
 
 
