@@ -42,33 +42,43 @@ def funnel_rows(mart: DataFrame, sdk_key: str | None = None, limit: int = LIST_L
     return _newest(mart, FUNNEL_SERVED, sdk_key, limit)
 
 
+def dashboard_health(mart: DataFrame, sdk_key: str | None = None, limit: int = LIST_LIMIT) -> DataFrame:
+    return health_rows(mart, sdk_key, limit).orderBy(F.desc("event_date"))
+
+
+def dashboard_promotion(mart: DataFrame, sdk_key: str | None = None, limit: int = LIST_LIMIT) -> DataFrame:
+    return promotion_rows(mart, sdk_key, limit).orderBy(F.desc("event_date"), F.desc("ctr"))
+
+
+def dashboard_funnel(mart: DataFrame, sdk_key: str | None = None, limit: int = LIST_LIMIT) -> DataFrame:
+    return funnel_rows(mart, sdk_key, limit).orderBy(F.desc("event_date"), F.desc("promotion_view_sessions"))
+
+
 def dashboard(
     health: DataFrame, promotion: DataFrame, funnel: DataFrame,
     sdk_key: str | None = None, limit: int = LIST_LIMIT,
 ) -> dict[str, DataFrame]:
     """The three lists of one dashboard load, each in display order."""
     return {
-        "health": health_rows(health, sdk_key, limit).orderBy(F.desc("event_date")),
-        "promotion": promotion_rows(promotion, sdk_key, limit).orderBy(F.desc("event_date"), F.desc("ctr")),
-        "funnel": funnel_rows(funnel, sdk_key, limit).orderBy(
-            F.desc("event_date"), F.desc("promotion_view_sessions")
-        ),
+        "health": dashboard_health(health, sdk_key, limit),
+        "promotion": dashboard_promotion(promotion, sdk_key, limit),
+        "funnel": dashboard_funnel(funnel, sdk_key, limit),
     }
 
 
 def serialised(rows: DataFrame) -> DataFrame:
     """Dates and times as ISO text, decimals as doubles."""
-    def plain(field: T.StructField) -> Column:
-        column = F.col(field.name)
+    def plain(field: T.StructField) -> str:
+        name = f"`{field.name}`"
         if isinstance(field.dataType, T.TimestampType):
-            return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(field.name)
+            return f"date_format({name}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS {name}"
         if isinstance(field.dataType, T.DateType):
-            return column.cast("string").alias(field.name)
+            return f"CAST({name} AS string) AS {name}"
         if isinstance(field.dataType, T.DecimalType):
-            return column.cast("double").alias(field.name)
-        return column
+            return f"CAST({name} AS double) AS {name}"
+        return name
 
-    return rows.select(*(plain(field) for field in rows.schema.fields))
+    return rows.selectExpr(*(plain(field) for field in rows.schema.fields))
 
 
 def _count_text(name: str) -> Column:

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.rules import error_message, first_error, validation_stage
 from ..functions.text import is_blank
-from ..functions.times import as_timestamp
 from ..schemas import BRONZE, PAYLOAD, SILVER_INVALID, SILVER_VALID, conform
 
 # Fields Bronze carries both as a column and inside the payload.
@@ -25,9 +24,9 @@ _PAYLOAD_TEXT = tuple(
 )
 
 
-def _column_or_payload(name: str) -> Column:
+def _column_or_payload(name: str) -> str:
     """The Bronze column if it is not NULL (blank counts as given), else the payload field."""
-    return F.trim(F.coalesce(F.col(name), F.col(f"payload.{name}")))
+    return f"trim(coalesce({name}, payload.{name}))"
 
 
 def parse(bronze: DataFrame) -> DataFrame:
@@ -35,26 +34,26 @@ def parse(bronze: DataFrame) -> DataFrame:
 
     The payload is parsed by one `from_json` per row, however many fields are read.
     """
-    return bronze.withColumn("payload", F.from_json("raw_event_json", PAYLOAD)).select(
-        as_timestamp(F.col("received_at")).alias("received_at"),
-        _column_or_payload("sdk_key").alias("sdk_key"),
-        _column_or_payload("event_id").alias("event_id"),
-        F.lower(_column_or_payload("event_type")).alias("event_type"),
-        _column_or_payload("event_time").alias("event_time_text"),
-        as_timestamp(_column_or_payload("event_time")).alias("event_time"),
-        _column_or_payload("session_id").alias("session_id"),
-        _column_or_payload("page_url").alias("page_url"),
-        *(F.trim(f"payload.{name}").alias(name) for name in _PAYLOAD_TEXT),
-        *(F.col(f"payload.{name}").try_cast("int").alias(name) for name in _WHOLE_NUMBERS),
-        F.col("payload.unit_price").try_cast("decimal(18,2)").alias("unit_price"),
+    return bronze.withColumn("payload", F.from_json("raw_event_json", PAYLOAD)).selectExpr(
+        "try_cast(received_at AS timestamp) AS received_at",
+        f"{_column_or_payload('sdk_key')} AS sdk_key",
+        f"{_column_or_payload('event_id')} AS event_id",
+        f"lower({_column_or_payload('event_type')}) AS event_type",
+        f"{_column_or_payload('event_time')} AS event_time_text",
+        f"try_cast({_column_or_payload('event_time')} AS timestamp) AS event_time",
+        f"{_column_or_payload('session_id')} AS session_id",
+        f"{_column_or_payload('page_url')} AS page_url",
+        *(f"trim(payload.{name}) AS {name}" for name in _PAYLOAD_TEXT),
+        *(f"try_cast(payload.{name} AS int) AS {name}" for name in _WHOLE_NUMBERS),
+        "try_cast(payload.unit_price AS decimal(18,2)) AS unit_price",
         "raw_event_json",
         "export_batch_id",
-        F.trim(F.coalesce("ingestion_source", F.lit("unknown"))).alias("ingestion_source"),
+        "trim(coalesce(ingestion_source, 'unknown')) AS ingestion_source",
         "source_file",
-        as_timestamp(F.col("loaded_at")).alias("loaded_at"),
+        "try_cast(loaded_at AS timestamp) AS loaded_at",
         # Fingerprint of the whole Bronze row: lets full ties be broken the same way every time
         # without shuffling the payload text of queries that do not ask for it.
-        F.xxhash64(*BRONZE.names).alias("row_fingerprint"),
+        f"xxhash64({', '.join(BRONZE.names)}) AS row_fingerprint",
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..functions.device import browser_name, device_type, os_name
 from ..functions.text import has_text, is_blank
 from ..operators import census, funnel, health, ingest, promotion, serve, silver
-from ..session import apply_semantics, scratch_path
+from ..session import prepare, scratch_path
 from ..sources import derived, files
 from ..streaming.consume import Folders, consume
 from ..streaming.export import export_new_files
@@ -33,8 +33,7 @@ _queries: dict[str, Query] = {}
 def _query(function: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
     """Register a function of the `events` table under its own name."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        apply_semantics(spark)
-        return serve.serialised(function(spark.read.parquet(f"{folder}/events.parquet")))
+        return serve.serialised(function(derived.read_events(prepare(spark), folder)))
 
     _queries[function.__name__] = run
     return function
@@ -65,7 +64,8 @@ def _rollup(events: DataFrame) -> DataFrame:
 
 
 def _health_mart(events: DataFrame) -> DataFrame:
-    return health.workspace_health(derived.bronze_rows(events), _survivors(events))
+    bronze = derived.bronze_rows(events)
+    return health.workspace_health(bronze, silver.survivors(bronze))
 
 
 def _promotion_mart(events: DataFrame) -> DataFrame:
@@ -257,7 +257,10 @@ def silver_invalid(events: DataFrame) -> DataFrame:
 @_query
 def silver_one_pass_equiv(events: DataFrame) -> DataFrame:
     """Survivors of the single pass against those of one ranking per table, row by row."""
-    classified = silver.classify(silver.parse(derived.bronze_rows(events)))
+    # Read four times: persisted, and only what the rankings and the comparison need of it.
+    classified = silver.classify(silver.parse(derived.bronze_rows(events))).select(
+        "event_id", "error_code", "loaded_at", "event_time", "source_file", "row_fingerprint"
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     newest = [F.col(name).desc_nulls_last() for name in ("loaded_at", "event_time", "source_file", "row_fingerprint")]
     by_event = Window.partitionBy("event_id")
 
@@ -268,7 +271,7 @@ def silver_one_pass_equiv(events: DataFrame) -> DataFrame:
     valid = first(keyed.filter("error_code is null"), *newest)
     invalid = first(keyed, F.col("error_code").isNotNull(), *newest).filter("error_code is not null")
     unkeyed = classified.filter(is_blank(F.col("event_id")) & F.col("error_code").isNotNull())
-    columns = ("event_id", "error_code", "source_file", "received_at")
+    columns = ("event_id", "error_code", "loaded_at", "event_time", "source_file")
 
     def counted(rows: DataFrame, one: int, two: int) -> DataFrame:
         return rows.select(*columns, F.lit(one).alias("one"), F.lit(two).alias("two"))
@@ -316,9 +319,8 @@ def health_invalid_agg(events: DataFrame) -> DataFrame:
 
 @_query
 def health_key_spine(events: DataFrame) -> DataFrame:
-    return health.key_spine(
-        health.raw_counts(derived.bronze_rows(events)), health.event_counts(_survivors(events))
-    )
+    bronze = derived.bronze_rows(events)
+    return health.key_spine(health.raw_counts(bronze), health.event_counts(silver.survivors(bronze)))
 
 
 @_query
@@ -399,24 +401,19 @@ def serve_funnel_by_key(events: DataFrame) -> DataFrame:
     return serve.funnel_rows(_funnel_mart(events), SERVED_KEY)
 
 
-def _dashboard(events: DataFrame, part: str) -> DataFrame:
-    marts = (_health_mart(events), _promotion_mart(events), _funnel_mart(events))
-    return serve.dashboard(*marts, sdk_key=SERVED_KEY)[part]
-
-
 @_query
 def dashboard_health(events: DataFrame) -> DataFrame:
-    return _dashboard(events, "health")
+    return serve.dashboard_health(_health_mart(events), SERVED_KEY)
 
 
 @_query
 def dashboard_promotion(events: DataFrame) -> DataFrame:
-    return _dashboard(events, "promotion")
+    return serve.dashboard_promotion(_promotion_mart(events), SERVED_KEY)
 
 
 @_query
 def dashboard_funnel(events: DataFrame) -> DataFrame:
-    return _dashboard(events, "funnel")
+    return serve.dashboard_funnel(_funnel_mart(events), SERVED_KEY)
 
 
 @_query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 _TYPES = {
     "string": T.StringType(),
@@ -135,4 +135,6 @@ MESSAGE = T.StructType([
 
 def conform(df: DataFrame, table: T.StructType) -> DataFrame:
     """Project `df` onto a declared table: its column order, its types, nothing else."""
-    return df.select(*(F.col(field.name).cast(field.dataType) for field in table.fields))
+    return df.selectExpr(
+        *(f"CAST({field.name} AS {field.dataType.simpleString()}) AS {field.name}" for field in table.fields)
+    )

@@ -13,6 +13,10 @@ SEMANTICS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# The Silver projection is wide. Beyond this size the JVM would interpret the method generated
+# for a whole stage instead of compiling it; Spark then generates one method per operator.
+CODEGEN = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 # Settings that make the plans hold up on a large cluster: adaptive re-planning merges small
 # shuffle partitions and splits skewed ones; retried stages must not lose shuffle output.
 CLUSTER = {
@@ -22,6 +26,8 @@ CLUSTER = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Lets a task write both Silver outcomes side by side instead of sorting its rows first.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 _MEBIBYTE = 1 << 20
@@ -41,14 +47,14 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SEMANTICS, **CLUSTER, **conf}.items():
+    for key, value in {**SEMANTICS, **CODEGEN, **CLUSTER, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def apply_semantics(spark: SparkSession) -> SparkSession:
-    """Set, on a session made by someone else, the settings that results rely on."""
-    for key, value in SEMANTICS.items():
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set, on a session made by someone else, what results and generated code rely on."""
+    for key, value in {**SEMANTICS, **CODEGEN}.items():
         spark.conf.set(key, value)
     return spark
 

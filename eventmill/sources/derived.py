@@ -8,18 +8,78 @@ malformed messages and broken lines. Rows come and go by residues of the event n
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import BRONZE, conform
+from .topic import envelope_text
 
 TOPIC = "events.raw"
-_TYPES = {
-    "view": "promotion_view",
-    "click": "promotion_click",
-    "signup": "page_view",
-    "error": "product_view",
-    "purchase": "add_to_cart",
+
+# What each event becomes: n is its number, k the number in its props, u its user.
+_NUMBERED = (
+    "event_id AS n",
+    "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\") AS iso",
+    "dayofmonth(ts) AS dd",
+    "user_id AS u",
+    "CASE event_type WHEN 'view' THEN 'promotion_view' WHEN 'click' THEN 'promotion_click'"
+    " WHEN 'signup' THEN 'page_view' WHEN 'error' THEN 'product_view'"
+    " WHEN 'purchase' THEN 'add_to_cart' END AS t",
+    "value",
+)
+_PROMO = "t IN ('promotion_view', 'promotion_click')"
+_PRODUCT = "t IN ('product_view', 'add_to_cart')"
+_CLICK, _CART = "t = 'promotion_click'", "t = 'add_to_cart'"
+
+# Fields Bronze carries as columns of their own.
+_LIFTED = {
+    "received_at": "iso",
+    "sdk_key": "CASE WHEN n % 97 = 0 THEN NULL WHEN n % 89 = 0 THEN '  ' ELSE 'shop_' || (u % 5) END",
+    "event_id": "IF(n % 83 <> 0, 'evt_' || IF(n % 50 IN (1, 3), n - 1, n), NULL)",
+    "event_type": "CASE WHEN n % 79 = 0 THEN 'checkout' WHEN n % 73 = 0 THEN ''"
+                  " WHEN n % 7 = 0 THEN ' ' || upper(t) || ' ' ELSE t END",
+    "event_time": "CASE WHEN n % 71 = 0 THEN 'garbage' WHEN n % 67 = 0 THEN NULL ELSE iso END",
+    "session_id": "CASE WHEN n % 61 = 0 THEN '' WHEN n % 11 <> 0 THEN 'sess_' || u || '_' || dd END",
+    "page_url": "IF(n % 59 <> 0, '/p/' || k, NULL)",
+}
+
+# Fields found only in the event payload.
+_PAYLOAD = {
+    "anonymous_id": "'anon_' || u",
+    "user_id": "IF(n % 3 = 0, 'user_' || u, NULL)",
+    "referrer_url": "IF(n % 5 <> 0, '/from/' || k, NULL)",
+    "page_title": "' Page ' || k",
+    "page_type": f"CASE WHEN {_PRODUCT} THEN 'product' WHEN {_PROMO} THEN 'campaign' ELSE 'home' END",
+    "device_type": "CASE u % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' ELSE '' END",
+    "os_name": "IF(u % 2 = 0, 'Windows', 'macOS')",
+    "browser_name": "IF(u % 4 = 0, 'Chrome', 'Safari')",
+    "viewport_width": "1000 + k",
+    "viewport_height": "600 + k",
+    "country": "IF(u % 7 = 0, 'KR', 'US')",
+    "language": "IF(u % 7 = 0, 'ko', 'en')",
+    "promotion_id": f"IF({_PROMO}, 'promo_' || (k % 6), NULL)",
+    "promotion_name": f"IF({_PROMO}, 'Promotion ' || (k % 6), NULL)",
+    "campaign_id": f"IF({_PROMO}, 'camp_' || (k % 3), NULL)",
+    "campaign_name": f"IF({_PROMO} AND n % 6 <> 0, 'Campaign ' || (k % 3), NULL)",
+    "placement": f"IF({_PROMO} AND n % 53 <> 0, IF(k % 2 = 0, 'main_hero', 'category_top'), NULL)",
+    "creative_id": f"IF({_PROMO}, 'creative_' || (k % 4), NULL)",
+    "creative_type": f"IF({_PROMO}, IF(k % 4 = 0, 'video', 'image'), NULL)",
+    "position_index": f"IF({_PROMO}, k % 5, NULL)",
+    "click_target_url": f"IF({_CLICK}, '/go/' || k, NULL)",
+    "click_x": f"IF({_CLICK}, n % 400, NULL)",
+    "click_y": f"IF({_CLICK}, n % 300, NULL)",
+    "product_id": f"IF({_PRODUCT} AND n % 47 <> 0, 'prod_' || k, NULL)",
+    "product_name": f"IF({_PRODUCT}, 'Product ' || k, NULL)",
+    "category_id": f"IF({_PRODUCT}, 'cat_' || (k % 8), NULL)",
+    "category_name": f"IF({_PRODUCT}, 'Category ' || (k % 8), NULL)",
+    "quantity": "IF(n % 43 = 0, '1.5', CAST(1 + k % 3 AS STRING))",
+    "unit_price": "value",
+    "currency": f"IF({_CART}, 'KRW', NULL)",
+    "source_promotion_id": f"IF({_PRODUCT} AND n % 4 <> 0, 'promo_' || (k % 6), NULL)",
+    "source_campaign_id": f"IF({_PRODUCT} AND n % 4 <> 0, 'camp_' || (k % 3), NULL)",
 }
+_CLEAN_SESSION = {"session_id": "'sess_' || u || '_' || dd"}
+
 _USER_AGENTS = (
     "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 Chrome/{v}.0.0.0 Safari/537.36",
     "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 Version/{v}.0 Safari/605.1.15",
@@ -39,110 +99,37 @@ _BLOCK, _BIG_REQUEST, _REQUEST = 1200, 600, 20
 _REQUESTS_PER_BLOCK = 1 + (_BLOCK - _BIG_REQUEST) // _REQUEST
 
 
-def _numbered(events: DataFrame) -> DataFrame:
-    kind = F.coalesce(*(F.when(F.col("event_type") == old, F.lit(new)) for old, new in _TYPES.items()))
-    return events.select(
-        F.col("event_id").alias("n"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("iso"),
-        F.dayofmonth("ts").alias("dd"),
-        F.col("user_id").alias("u"),
-        kind.alias("t"),
-        "value",
-    )
+def read_events(spark: SparkSession, folder: str) -> DataFrame:
+    """The events table. A small one, that would keep most cores idle, is spread over them.
 
+    A table of more scan tasks than cores, which is any large one, is left as it is. Spread rows
+    are sorted by their unique number: a task that is run again must see them in the same order.
+    """
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() >= cores:
+        return events
+    return events.repartition(cores, "event_id").sortWithinPartitions("event_id")
 
-def _every(residue: int) -> Column:
-    return F.col("n") % residue == 0
-
-
-def _numbered_name(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
-
-
-def _payload() -> list[Column]:
-    """Fields found only in the event payload."""
-    n, k, u = F.col("n"), F.col("k"), F.col("u")
-    promo = F.col("t").isin("promotion_view", "promotion_click")
-    product = F.col("t").isin("product_view", "add_to_cart")
-    clicked = F.col("t") == "promotion_click"
-    carted = F.col("t") == "add_to_cart"
-
-    def when(condition: Column, value: Column, name: str) -> Column:
-        return F.when(condition, value).alias(name)
-
-    return [
-        F.concat(F.lit("sess_"), u, F.lit("_"), "dd").alias("session_id"),
-        _numbered_name("anon_", u).alias("anonymous_id"),
-        when(n % 3 == 0, _numbered_name("user_", u), "user_id"),
-        when(n % 5 != 0, _numbered_name("/from/", k), "referrer_url"),
-        _numbered_name(" Page ", k).alias("page_title"),
-        F.when(product, "product").when(promo, "campaign").otherwise("home").alias("page_type"),
-        F.when(u % 3 == 0, "desktop").when(u % 3 == 1, "mobile").otherwise("").alias("device_type"),
-        F.when(u % 2 == 0, "Windows").otherwise("macOS").alias("os_name"),
-        F.when(u % 4 == 0, "Chrome").otherwise("Safari").alias("browser_name"),
-        (F.lit(1000) + k).alias("viewport_width"),
-        (F.lit(600) + k).alias("viewport_height"),
-        F.when(u % 7 == 0, "KR").otherwise("US").alias("country"),
-        F.when(u % 7 == 0, "ko").otherwise("en").alias("language"),
-        when(promo, _numbered_name("promo_", k % 6), "promotion_id"),
-        when(promo, _numbered_name("Promotion ", k % 6), "promotion_name"),
-        when(promo, _numbered_name("camp_", k % 3), "campaign_id"),
-        when(promo & (n % 6 != 0), _numbered_name("Campaign ", k % 3), "campaign_name"),
-        when(promo & (n % 53 != 0), F.when(k % 2 == 0, "main_hero").otherwise("category_top"), "placement"),
-        when(promo, _numbered_name("creative_", k % 4), "creative_id"),
-        when(promo, F.when(k % 4 == 0, "video").otherwise("image"), "creative_type"),
-        when(promo, k % 5, "position_index"),
-        when(clicked, _numbered_name("/go/", k), "click_target_url"),
-        when(clicked, n % 400, "click_x"),
-        when(clicked, n % 300, "click_y"),
-        when(product & (n % 47 != 0), _numbered_name("prod_", k), "product_id"),
-        when(product, _numbered_name("Product ", k), "product_name"),
-        when(product, _numbered_name("cat_", k % 8), "category_id"),
-        when(product, _numbered_name("Category ", k % 8), "category_name"),
-        F.when(n % 43 == 0, "1.5").otherwise((1 + k % 3).cast("string")).alias("quantity"),
-        F.col("value").alias("unit_price"),
-        when(carted, F.lit("KRW"), "currency"),
-        when(product & (n % 4 != 0), _numbered_name("promo_", k % 6), "source_promotion_id"),
-        when(product & (n % 4 != 0), _numbered_name("camp_", k % 3), "source_campaign_id"),
-    ]
-
-
-def _lifted() -> dict[str, Column]:
-    """Fields Bronze carries as columns of their own."""
-    n = F.col("n")
-    return {
-        "received_at": F.col("iso"),
-        "sdk_key": F.when(_every(97), F.lit(None)).when(_every(89), "  ").otherwise(
-            _numbered_name("shop_", F.col("u") % 5)
-        ),
-        "event_id": F.when(~_every(83), _numbered_name("evt_", F.when((n % 50).isin(1, 3), n - 1).otherwise(n))),
-        "event_type": F.when(_every(79), "checkout").when(_every(73), "").when(
-            _every(7), F.concat(F.lit(" "), F.upper("t"), F.lit(" "))
-        ).otherwise(F.col("t")),
-        "event_time": F.when(_every(71), "garbage").when(_every(67), F.lit(None)).otherwise(F.col("iso")),
-        "session_id": F.when(_every(61), "").when(~_every(11), F.concat(F.lit("sess_"), "u", F.lit("_"), "dd")),
-        "page_url": F.when(~_every(59), _numbered_name("/p/", F.col("k"))),
-    }
+
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {text}" for name, text in fields.items()) + ")"
 
 
 def bronze_rows(events: DataFrame) -> DataFrame:
     """Bronze as both ingest paths together leave it."""
-    n = F.col("n")
-    direct = n % 5 < 3
-    loaded = F.when(direct, "2024-02-01T00:00:00Z").otherwise("2024-02-01T06:00:00Z")
+    loaded = "IF(n % 5 < 3, '2024-02-01T00:00:00Z', '2024-02-01T06:00:00Z')"
     return conform(
-        _numbered(events).select(
-            *(column.alias(name) for name, column in _lifted().items()),
-            F.to_json(F.struct(*_payload())).alias("raw_event_json"),
-            loaded.alias("exported_at"),
-            F.when(direct, "bronze_20240201T000000Z_00000000")
-            .otherwise("kafka_bronze_20240201T060000Z_00000000").alias("export_batch_id"),
-            F.when(direct, _numbered_name("raw_events/part-", n % 8)).otherwise(
-                F.concat(F.lit("kafka://events.raw/partition="), n % 4, F.lit("/offset="), n)
-            ).alias("source_file"),
-            F.when(direct, "direct_raw").otherwise("kafka_consumer_direct").alias("ingestion_source"),
-            loaded.alias("loaded_at"),
+        events.selectExpr(*_NUMBERED).selectExpr(
+            *(f"{text} AS {name}" for name, text in _LIFTED.items()),
+            f"to_json({_struct(_CLEAN_SESSION | _PAYLOAD)}) AS raw_event_json",
+            f"{loaded} AS exported_at",
+            "IF(n % 5 < 3, 'bronze_20240201T000000Z_00000000', 'kafka_bronze_20240201T060000Z_00000000')"
+            " AS export_batch_id",
+            "IF(n % 5 < 3, 'raw_events/part-' || (n % 8),"
+            " 'kafka://events.raw/partition=' || (n % 4) || '/offset=' || n) AS source_file",
+            "IF(n % 5 < 3, 'direct_raw', 'kafka_consumer_direct') AS ingestion_source",
+            f"{loaded} AS loaded_at",
         ),
         BRONZE,
     )
@@ -150,98 +137,75 @@ def bronze_rows(events: DataFrame) -> DataFrame:
 
 def event_objects(events: DataFrame) -> DataFrame:
     """Whole event objects as a sender sends them: (n, iso, u, event)."""
-    payload = [column for column in _payload()][1:]  # the sender's session id is a lifted field
-    lifted = [column.alias(name) for name, column in _lifted().items()
-              if name not in ("received_at", "sdk_key")]
-    return _numbered(events).select("n", "iso", "u", F.struct(*lifted, *payload).alias("event"))
-
-
-def request_number(n: Column) -> Column:
-    within = n % _BLOCK
-    first = F.floor(n / _BLOCK) * _REQUESTS_PER_BLOCK
-    return (
-        first + F.when(within < _BIG_REQUEST, 0).otherwise(1 + F.floor((within - _BIG_REQUEST) / _REQUEST))
-    ).cast("bigint")
+    lifted = {name: text for name, text in _LIFTED.items() if name not in ("received_at", "sdk_key")}
+    return events.selectExpr(*_NUMBERED).selectExpr("n", "iso", "u", f"{_struct(lifted | _PAYLOAD)} AS event")
 
 
 def requests(events: DataFrame) -> DataFrame:
     """Requests of at most 600 events each: (r, received_at, sdk_key, events)."""
-    sent = event_objects(events).withColumn("r", request_number(F.col("n")))
-    grouped = sent.groupBy("r").agg(
+    number = (
+        f"CAST((n DIV {_BLOCK}) * {_REQUESTS_PER_BLOCK} + IF(n % {_BLOCK} < {_BIG_REQUEST}, 0,"
+        f" 1 + (n % {_BLOCK} - {_BIG_REQUEST}) DIV {_REQUEST}) AS BIGINT)"
+    )
+    grouped = event_objects(events).withColumn("r", F.expr(number)).groupBy("r").agg(
         F.min("iso").alias("iso"), F.min("u").alias("u"), F.collect_list("event").alias("events")
     )
-    r = F.col("r")
-    return grouped.select(
+    return grouped.selectExpr(
         "r",
-        F.when(r % 17 == 0, " ").when(r % 19 == 0, "yesterday").when(
-            r % 7 == 0, F.concat(F.substring("iso", 1, 19), F.lit("+09:00"))
-        ).otherwise(F.col("iso")).alias("received_at"),
-        F.when(r % 31 == 0, " ").otherwise(_numbered_name(" shop_", F.col("u") % 5)).alias("sdk_key"),
-        F.when(r % 43 == 0, F.slice("events", 1, 0)).when(r % 37 != 0, F.col("events")).alias("events"),
+        "CASE WHEN r % 17 = 0 THEN ' ' WHEN r % 19 = 0 THEN 'yesterday'"
+        " WHEN r % 7 = 0 THEN substring(iso, 1, 19) || '+09:00' ELSE iso END AS received_at",
+        "IF(r % 31 = 0, ' ', ' shop_' || (u % 5)) AS sdk_key",
+        "CASE WHEN r % 43 = 0 THEN slice(events, 1, 0) WHEN r % 37 <> 0 THEN events END AS events",
     )
 
 
 def messages(events: DataFrame) -> DataFrame:
     """Topic messages for the requests, some of them malformed."""
-    from .topic import envelope_text
-
-    r = F.col("r")
-    # Elements that are no objects are put in front of the others.
-    list_start = F.when(r % 13 == 0, '"events":[5,"{fake",null,').otherwise('"events":[')
-    good = F.regexp_replace(
-        envelope_text(F.col("received_at"), F.col("sdk_key"), F.col("events")),
-        F.lit(r'"events":\['), list_start,
-    )
-    value = (
-        F.when(r % 23 == 0, "not json {")
-        .when(r % 29 == 0, F.lit('[{"sdk_key":"shop_0"}]'))
-        .when(r % 41 == 0, F.lit('{"sdk_key":"shop_1","events":{"event_id":"evt_1"}}'))
-        .when(r % 47 == 0, F.lit('{"sdk_key":"shop_2","events":[5,"{x"]}'))
-        .otherwise(good)
+    enveloped = requests(events).select(
+        "r", envelope_text(F.col("received_at"), F.col("sdk_key"), F.col("events")).alias("envelope")
     )
-    return requests(events).select(
-        F.lit(TOPIC).alias("topic"),
-        (r % 4).cast("int").alias("partition"),
-        r.alias("offset"),
-        value.alias("value"),
+    return enveloped.selectExpr(
+        f"'{TOPIC}' AS topic",
+        "CAST(r % 4 AS INT) AS partition",
+        "r AS offset",
+        """CASE WHEN r % 23 = 0 THEN 'not json {'
+             WHEN r % 29 = 0 THEN '[{"sdk_key":"shop_0"}]'
+             WHEN r % 41 = 0 THEN '{"sdk_key":"shop_1","events":{"event_id":"evt_1"}}'
+             WHEN r % 47 = 0 THEN '{"sdk_key":"shop_2","events":[5,"{x"]}'
+             ELSE replace(envelope, '"events":[', IF(r % 13 = 0, '"events":[5,"{fake",null,', '"events":['))
+             END AS value""",
     )
 
 
 def raw_lines(events: DataFrame) -> DataFrame:
-    """Raw file lines and the key of the file each stands in, some lines broken or blank."""
-    n = F.col("n")
-    root = F.when(n % 5 < 3, "raw_events").otherwise("raw_events_kafka")
-    key = F.concat(
-        root, F.lit("/date="), F.substring("iso", 1, 10), F.lit("/events-"),
-        F.format_string("%04d", F.floor(n / 1000).cast("bigint")), F.lit(".jsonl"),
+    """Raw file lines and the key of the file each stands in, some lines broken or blank.
+
+    A broken line is a record cut short with text put around it; the record is named only once.
+    """
+    record = "to_json(named_struct('received_at', iso, 'sdk_key', 'shop_' || (u % 5), 'event', event))"
+    kept = (
+        f"CASE WHEN n % 101 = 0 THEN 40 WHEN n % 103 = 0 THEN {_WHOLE}"
+        f" WHEN n % 107 = 0 OR n % 109 = 0 OR n % 113 = 0 THEN 0 ELSE {_WHOLE} END"
     )
-    record = F.to_json(F.struct(
-        F.col("iso").alias("received_at"),
-        _numbered_name("shop_", F.col("u") % 5).alias("sdk_key"),
-        "event",
-    ))
-    # Broken lines are made by cutting the record short and putting text around it.
-    kept_length = F.when(_every(101), 40).when(_every(103), _WHOLE).when(
-        _every(107) | _every(109) | _every(113), 0
-    ).otherwise(_WHOLE)
-    before = F.when(~_every(101) & _every(103), "[").otherwise("")
-    after = (
-        F.when(_every(101), "")
-        .when(_every(103), "]")
-        .when(_every(107), '{"received_at":"2024-01-01T00:00:00Z","sdk_key":"shop_0"}')
-        .when(_every(109), '{"sdk_key":"shop_0","event":"{}"}')
-        .when(_every(113), "  ")
-        .otherwise("")
+    after = """CASE WHEN n % 101 = 0 THEN '' WHEN n % 103 = 0 THEN ']'
+        WHEN n % 107 = 0 THEN '{"received_at":"2024-01-01T00:00:00Z","sdk_key":"shop_0"}'
+        WHEN n % 109 = 0 THEN '{"sdk_key":"shop_0","event":"{}"}' WHEN n % 113 = 0 THEN '  ' ELSE '' END"""
+    before = "IF(n % 101 <> 0 AND n % 103 = 0, '[', '')"
+    return event_objects(events).selectExpr(
+        "n",
+        # One-element explode: keeps a later filter on the line from repeating all of the above.
+        f"explode(array({before} || substring({record}, 1, {kept}) || {after})) AS line",
+        "IF(n % 5 < 3, 'raw_events', 'raw_events_kafka') || '/date=' || substring(iso, 1, 10)"
+        " || '/events-' || lpad(CAST(n DIV 1000 AS STRING), 4, '0') || '.jsonl' AS file_key",
     )
-    line = F.concat(before, F.substring(record, F.lit(1), kept_length), after)
-    return event_objects(events).select("n", line.alias("line"), key.alias("file_key"))
 
 
 def user_agents(events: DataFrame) -> DataFrame:
     """A user-agent text per event."""
-    version = (F.lit(100) + F.get_json_object("props", "$.k").cast("int")).cast("string")
-    agent = F.coalesce(*(
-        F.when(F.col("event_id") % len(_USER_AGENTS) == at, F.replace(F.lit(text), F.lit("{v}"), version))
-        for at, text in enumerate(_USER_AGENTS)
-    ))
-    return events.select("event_id", agent.alias("user_agent"))
+    version = "CAST(100 + CAST(get_json_object(props, '$.k') AS INT) AS STRING)"
+    agents = "array(" + ", ".join(f"'{text}'" for text in _USER_AGENTS) + ")"
+    return events.selectExpr(
+        "event_id",
+        f"replace(element_at({agents}, CAST(event_id % {len(_USER_AGENTS)} AS INT) + 1), '{{v}}', {version})"
+        " AS user_agent",
+    )
