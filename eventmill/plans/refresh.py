@@ -125,7 +125,7 @@ def build_gold(spark: SparkSession, tables: Tables) -> None:
     """The marts do not depend on each other; run together, one fills another's idle tail."""
     with ThreadPoolExecutor(3) as pool:
         running = [
-            pool.submit(inheritable_thread_target(build), spark, tables)
+            pool.submit(inheritable_thread_target(spark)(build), spark, tables)
             for build in (build_health, build_promotion, build_funnel)
         ]
         for mart in running:
