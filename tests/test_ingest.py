@@ -205,3 +205,23 @@ def test_catalog_files(spark, tmp_path):
     header = "workspace_id,project_id,mall_name,campaign_id,campaign_name,promotion_id,promotion_name,placement,page_url,creative_id,creative_type,start_at,end_at,status"
     write(tmp_path / "promotions.csv", header, "w,p,몰,c,특가,p,배너,top,/,x,image,2026-04-01T00:00:00Z,2026-04-30T23:59:59Z,active")
     assert catalog.read_promotions(spark, str(tmp_path / "promotions.csv")).first().start_at.month == 4
+
+
+def test_finished_batches_are_delivered_once(spark, tmp_path):
+    from eventmill.streaming.deliver import deliver_new_files
+
+    def deliver():
+        for source in ("direct", "kafka"):
+            deliver_new_files(spark, source, str(tmp_path / source), str(tmp_path / "drop" / source),
+                              str(tmp_path / "progress" / source)).awaitTermination()
+        rows = files.read_bronze(spark, str(tmp_path / "drop/direct"), str(tmp_path / "drop/kafka"))
+        return sorted((r.event_id, r.ingestion_source) for r in rows.collect())
+
+    write(tmp_path / "direct/bronze_events_1.jsonl", '{"event_id":"a"}')
+    write(tmp_path / "kafka/date=2026-04-30/bronze_events-0001.jsonl", '{"event_id":"b"}', '{"event_id":"c"}')
+    first = [("a", "direct_raw"), ("b", "kafka_consumer_direct"), ("c", "kafka_consumer_direct")]
+    assert deliver() == first
+    assert (tmp_path / "drop/kafka/date=2026-04-30").exists()
+    write(tmp_path / "direct/bronze_events_2.jsonl", '{"event_id":"d"}')
+    assert deliver() == [*first, ("d", "direct_raw")]
+    assert deliver() == [*first, ("d", "direct_raw")]
