@@ -50,6 +50,23 @@ def test_reasons_in_order(spark):
     ]
 
 
+@pytest.mark.parametrize("value", [
+    '{"sdk_key":"k","events":[{},]}', '{"sdk_key":"k","events":[{}]', "", "{}", "[]", '"text"', "true",
+    '{"sdk_key":"k","events":[{}]}', '{"sdk_key":"k","events":[{"a":[{}]}]}', '{"sdk_key":7,"events":[{}]}',
+])
+def test_reason_is_what_a_strict_json_parser_gives(spark, value):
+    def expected():
+        try:
+            payload = json.loads(value)
+        except json.JSONDecodeError:
+            return "invalid json"
+        if not isinstance(payload, dict):
+            return "payload must be object"
+        return None if payload.get("sdk_key") else "missing sdk_key"
+
+    assert reasons(spark, value) == [expected()]
+
+
 def test_only_objects_are_exploded_and_keep_their_text(spark):
     rows = ingest.explode_events(opened(spark, envelope([5, EVENT, '{"fake":1}', {"event_id": 7}, None]))).collect()
     assert [json.loads(r.event) for r in rows] == [EVENT, {"event_id": 7}]
