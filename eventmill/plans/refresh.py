@@ -107,18 +107,23 @@ def _view(
     )
 
 
+def _replace_mart(mart: DataFrame, table: str) -> None:
+    """Mart files are ordered by workspace, so that a list for one workspace skips most of them."""
+    _replace(mart.sortWithinPartitions("sdk_key", "event_date"), table)
+
+
 def build_health(spark: SparkSession, tables: Tables) -> None:
     mart = health.workspace_health(spark.table(tables.bronze), spark.table(tables.survivors))
-    _replace(mart, tables.health)
+    _replace_mart(mart, tables.health)
 
 
 def build_promotion(spark: SparkSession, tables: Tables) -> None:
     _replace(promotion.promotion_rollup(spark.table(tables.valid)), tables.rollup)
-    _replace(promotion.promotion_performance(spark.table(tables.rollup)), tables.promotion)
+    _replace_mart(promotion.promotion_performance(spark.table(tables.rollup)), tables.promotion)
 
 
 def build_funnel(spark: SparkSession, tables: Tables) -> None:
-    _replace(funnel.campaign_funnel(spark.table(tables.valid)), tables.funnel)
+    _replace_mart(funnel.campaign_funnel(spark.table(tables.valid)), tables.funnel)
 
 
 def build_gold(spark: SparkSession, tables: Tables) -> None:

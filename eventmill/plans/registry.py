@@ -217,13 +217,11 @@ def topic_stream_bronze(events: DataFrame) -> DataFrame:
     raw = spark.read.text(f"{base}/raw").select(F.lit("raw").alias("sink"), F.col("date").cast("string").alias("key"))
     bronze = spark.read.json(f"{base}/bronze").select(F.lit("bronze"), F.col("date").cast("string"))
     dead = spark.read.json(f"{base}/dead").select(F.lit("dead_letters"), F.col("reason"))
-    # The file day of a message without a usable receipt day is the day the stream ran.
-    today = F.date_format(F.current_timestamp(), "yyyy-MM-dd")
     rows = raw.union(bronze).union(dead)
-    day = F.when(F.col("key") >= "2024-12-31", "today").otherwise(F.col("key"))
-    return rows.groupBy("sink", F.when(F.col("sink") == "dead_letters", F.col("key")).otherwise(day).alias("key")).agg(
-        F.count("*").alias("cnt")
-    )
+    # A message without a usable receipt day is filed under the day the stream ran.
+    ran_on = (F.col("sink") != "dead_letters") & (F.col("key") >= "2024-12-31")
+    key = F.when(ran_on, "today").otherwise(F.col("key")).alias("key")
+    return rows.groupBy("sink", key).agg(F.count("*").alias("cnt"))
 
 
 # Silver

@@ -101,6 +101,8 @@ def read_raw_lines(spark: SparkSession, base: str, streaming: bool = False) -> D
 
     Blank lines are left out. A stream takes each file once, however often it is started.
     """
+    if not streaming and not any(exists(spark, f"{base}/{root}") for root in ROOT_TAGS):
+        return spark.createDataFrame([], "line string, file_key string")
     reader = spark.readStream if streaming else spark.read
     roots = "{" + ",".join(ROOT_TAGS) + "}"
     lines = (
