@@ -14,8 +14,9 @@ def as_day(text: Column) -> Column:
     return as_timestamp(text).cast("date")
 
 
-def iso_text(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+def iso_text(name: str) -> str:
+    """ISO text of a timestamp column, as SQL; microseconds are left out where they are zero."""
+    return f"regexp_replace(date_format({name}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '[.]000000$', '')"
 
 
 def partition_day(received_at: Column, today: Column) -> Column:

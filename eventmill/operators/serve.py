@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.numbers import grouped_integer, number_or_zero, percent_text, rate_tier, safe_ratio
+from ..functions.times import iso_text
 from ..schemas import (
     FUNNEL_NULLABLE, FUNNEL_SERVED, HEALTH_NULLABLE, HEALTH_SERVED, PROMOTION_NULLABLE, PROMOTION_SERVED,
 )
@@ -71,7 +72,7 @@ def serialised(rows: DataFrame) -> DataFrame:
     def plain(field: T.StructField) -> str:
         name = f"`{field.name}`"
         if isinstance(field.dataType, T.TimestampType):
-            return f"date_format({name}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS {name}"
+            return f"{iso_text(name)} AS {name}"
         if isinstance(field.dataType, T.DateType):
             return f"CAST({name} AS string) AS {name}"
         if isinstance(field.dataType, T.DecimalType):

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..schemas import BRONZE
 
 # Raw roots and the lineage tag of each, tags of the two Bronze drops, what a
-# delivered file's key starts with, and file names (`part-*` being what Spark itself writes).
+# delivered file's key starts with, and file names. `part-*` is what Spark itself writes, here
+# under a folder per micro-batch.
 ROOT_TAGS = {"raw_events": "direct_raw", "raw_events_kafka": "kafka_consumer"}
 DIRECT_TAG, STREAM_TAG = "direct_raw", "kafka_consumer_direct"
 LEGACY_ROOT = "raw_events"
@@ -19,7 +20,7 @@ DELIVERY_PREFIXES = {"direct": "out/bronze_batches", "kafka": "data/bronze_batch
 RAW_GLOB = "{events-*.jsonl,part-*}"
 DIRECT_GLOB = "{*.jsonl,part-*}"
 STREAM_GLOB = "{bronze_events-*.jsonl,part-*}"
-RAW_KEY = r"([^/]+)/date=(\d{4}-\d{2}-\d{2})/(?:batch=\d+/events-|batch=\d+/part-|events-|part-)(\d+)[^/]*$"
+RAW_KEY = r"([^/]+)/date=(\d{4}-\d{2}-\d{2})/(?:batch=\d+/)?(?:events|part)-(\d+)[^/]*$"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
