@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.rules import error_message, validation_stage
 from ..operators import funnel, health, promotion, silver
 from ..schemas import SILVER_INVALID, SILVER_VALID
+from ..session import size_shuffles
 from ..sources.files import read_bronze
 
 LAYERS = ("bronze", "silver", "gold")
@@ -78,8 +79,10 @@ def build_bronze(rows: DataFrame, tables: Tables) -> None:
 
 
 def build_silver(spark: SparkSession, tables: Tables) -> None:
+    bronze = spark.table(tables.bronze)
+    size_shuffles(bronze)
     code = F.col("error_code")
-    kept = silver.survivors(spark.table(tables.bronze)).withColumns({
+    kept = silver.survivors(bronze).withColumns({
         "event_date": F.col("event_time").cast("date"),
         "error_message": error_message(code),
         "validation_stage": validation_stage(code),

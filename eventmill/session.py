@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that the results rely on.
 SEMANTICS = {
@@ -30,17 +30,31 @@ CLUSTER = {
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
-_MEBIBYTE = 1 << 20
+_PARTITION_BYTES = 512 << 20
+_SHUFFLE_GROWTH = 3  # shuffled rows against the same rows stored as compressed Parquet
+_MOST_PARTITIONS = 100_000
 
 
-def shuffle_partitions(input_bytes: int, per_partition: int = 512 * _MEBIBYTE) -> int:
-    """Initial shuffle partition count for a full refresh over `input_bytes` of Bronze.
+def shuffle_partitions(stored_bytes: int) -> int:
+    """Shuffle partitions for a pass over `stored_bytes` of a table.
 
-    Half a gigabyte per partition keeps a sort within executor memory and, at 100 TB, keeps
-    the number of shuffle blocks (map tasks x partitions) manageable; adaptive execution
-    merges what turns out smaller.
+    Half a gigabyte per partition sorts within executor memory. Beyond 50 TB or so partitions
+    grow instead of becoming more (sorting spills, but shuffle blocks stay manageable).
     """
-    return max(200, -(-input_bytes // per_partition))
+    return min(_MOST_PARTITIONS, -(-stored_bytes * _SHUFFLE_GROWTH // _PARTITION_BYTES))
+
+
+def size_shuffles(df: DataFrame) -> None:
+    """Raise the session's shuffle partitions to suit a pass over `df`; never lower them.
+
+    Adaptive execution merges partitions that turn out small, so a high count costs little,
+    while the default count would make a large table's partitions too big to sort.
+    """
+    spark = df.sparkSession
+    stored = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = shuffle_partitions(stored)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:

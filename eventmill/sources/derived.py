@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import BRONZE, conform
+from ..session import size_shuffles
 from .topic import envelope_text
 
 TOPIC = "events.raw"
@@ -106,6 +107,7 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     are sorted by their unique number: a task that is run again must see them in the same order.
     """
     events = spark.read.parquet(f"{folder}/events.parquet")
+    size_shuffles(events)
     cores = spark.sparkContext.defaultParallelism
     if events.rdd.getNumPartitions() >= cores:
         return events

@@ -13,7 +13,7 @@ import __spark_entry__ as contract  # noqa: E402
 from eventmill.operators import silver  # noqa: E402
 from eventmill.plans.refresh import Tables, refresh  # noqa: E402
 from eventmill.schemas import SILVER_INVALID, SILVER_VALID, WORKSPACE_HEALTH  # noqa: E402
-from eventmill.session import scratch_path, shared_folder, shuffle_partitions  # noqa: E402
+from eventmill.session import scratch_path, shared_folder, shuffle_partitions, size_shuffles  # noqa: E402
 
 TESTDATA = Path("/root/testdata/sf0.001")
 needs_data = pytest.mark.skipif(not TESTDATA.exists(), reason="driver tables are absent")
@@ -98,6 +98,18 @@ def test_shared_folder_is_the_named_one(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
-def test_shuffle_partitions_grow_with_the_input():
-    assert shuffle_partitions(0) == 200
-    assert shuffle_partitions(100 * 10**12) == 186265
+def test_shuffle_partitions_grow_with_the_table():
+    assert shuffle_partitions(10 * 10**6) == 1
+    assert shuffle_partitions(10**12) == 5588
+    assert shuffle_partitions(100 * 10**12) == 100_000
+
+
+def test_shuffle_partitions_are_never_lowered(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size_shuffles(spark.range(10))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    try:
+        size_shuffles(spark.range(10**10))
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == shuffle_partitions(8 * 10**10)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
