@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .simhash import near_duplicates
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 
@@ -21,6 +22,10 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = suffix_dedup(_table(spark, folder, "documents"))
     return cut.select(
@@ -28,4 +33,4 @@ def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_substring_dedup, op8_suffix_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op5_simhash, op8_suffix_dedup)}
