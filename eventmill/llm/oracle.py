@@ -41,5 +41,62 @@ FROM hexed LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+_OP2 = rf"""
+WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+words AS (SELECT doc_id, regexp_extract_all(t, '{WORD}') AS w FROM docs),
+grams AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS s, w FROM words),
+keyed AS (SELECT doc_id, s, array_to_string(w[s : s + 4], ' ') AS k FROM grams),
+twice AS (SELECT doc_id, k FROM keyed GROUP BY doc_id, k HAVING count(*) > 1),
+repeated AS (SELECT doc_id, count(DISTINCT i) AS n FROM (
+    SELECT doc_id, unnest(range(s, s + 5)) AS i FROM keyed SEMI JOIN twice USING (doc_id, k)) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM docs),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines
+         WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id),
+counted AS (
+    SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+           CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(coalesce(dups.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words
+    FROM docs JOIN words USING (doc_id) LEFT JOIN dups USING (doc_id) LEFT JOIN repeated USING (doc_id)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted),
+hosts AS (SELECT source, count(*) AS n, CAST(count(*) FILTER (base_failed) AS DOUBLE) AS f FROM judged GROUP BY source),
+overall AS (SELECT sum(f) / sum(n) AS m FROM hosts),
+spread AS (SELECT m, avg((f / n - m) * (f / n - m)) AS v FROM hosts, overall GROUP BY m),
+prior AS (SELECT m, CASE WHEN v > 0 THEN greatest(1, least(1000, m * (1 - m) / v - 1)) ELSE 1000 END AS k FROM spread),
+rates AS (SELECT source, (f + m * k) / (n + k) AS rate FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept
+FROM judged JOIN rates ON judged.source IS NOT DISTINCT FROM rates.source
+"""
+
+_OP10 = rf"""
+WITH docs AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
+           md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+    FROM docs GROUP BY source),
+filled AS (
+    SELECT *, 2 * source_size AS cap,
+           (1.5::DOUBLE * sum(source_size) OVER ()
+            - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
+                                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / sum(weight) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
+                               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM sources),
+common AS (SELECT arg_min(level, cap / weight) AS level FROM filled WHERE level * weight <= cap),
+shares AS (SELECT source, source_size, least(coalesce(common.level * weight, cap), cap)::DOUBLE AS target FROM filled, common),
+placed AS (
+    SELECT docs.*, source_size, target,
+           sum(size) OVER (PARTITION BY docs.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
+    FROM docs JOIN shares ON docs.source IS NOT DISTINCT FROM shares.source),
+whole AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS times FROM placed)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (times + CASE WHEN before + size / 2 <= target - times * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM whole
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": _OP1, "op8_suffix_dedup": _OP8}
+    return {
+        "op1_substring_dedup": _OP1, "op2_quality_rules": _OP2, "op8_suffix_dedup": _OP8, "op10_mixing": _OP10,
+    }

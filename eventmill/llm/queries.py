@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .mixing import mix
+from .quality_rules import quality_rules
 from .simhash import near_duplicates
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -22,6 +24,12 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules(_table(spark, folder, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
@@ -32,5 +40,10 @@ def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_substring_dedup, op5_simhash, op8_suffix_dedup)}
+    named = (op1_substring_dedup, op2_quality_rules, op5_simhash, op8_suffix_dedup, op10_mixing)
+    return {query.__name__: query for query in named}
