@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import langid
 from .mixing import mix
 from .quality_rules import quality_rules
 from .simhash import near_duplicates
@@ -40,10 +41,14 @@ def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(_table(spark, folder, "documents"))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict[str, Query]:
-    named = (op1_substring_dedup, op2_quality_rules, op5_simhash, op8_suffix_dedup, op10_mixing)
+    named = (op1_substring_dedup, op2_quality_rules, op5_simhash, op8_suffix_dedup, op9_langid, op10_mixing)
     return {query.__name__: query for query in named}
