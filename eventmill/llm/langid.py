@@ -23,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from . import arrow
 from .hashing import BASES, Rolling, mix
+from .labels import held_out, remainder
 from .workspace import ship
 from ..session import scratch_path
 
@@ -39,10 +40,6 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _MOST_HELD = 300_000
 
 
-def remainder(of: int) -> Column:
-    return F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % of
-
-
 def word_counts(documents: DataFrame) -> DataFrame:
     """(lang, word, n) over all rows of (lang, text)."""
     ship(documents.sparkSession)
@@ -202,5 +199,4 @@ def predict(documents: DataFrame, model: LanguageModel) -> DataFrame:
 def identify(documents: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
     """Learns from the documents outside the held-out fold and predicts all: doc_id, held_out, lang_pred, score."""
     model = fit(documents.where(remainder(folds) != held).select("lang", "text"))
-    held_out = F.coalesce(remainder(folds) == held, F.lit(False))
-    return predict(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return predict(documents, model).select("doc_id", held_out(folds, held).alias("held_out"), "lang_pred", "score")

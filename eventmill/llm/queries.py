@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import langid
 from .mixing import mix
+from .quality_model import classify
 from .quality_rules import quality_rules
 from .simhash import near_duplicates
 from .substring_dedup import substring_dedup
@@ -31,6 +32,10 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    return classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
@@ -50,5 +55,5 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op1_substring_dedup, op2_quality_rules, op5_simhash, op8_suffix_dedup, op9_langid, op10_mixing)
+    named = (op1_substring_dedup, op2_quality_rules, op4_quality_model, op5_simhash, op8_suffix_dedup, op9_langid, op10_mixing)
     return {query.__name__: query for query in named}
