@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid
+from . import langid, toxicity
 from .mixing import mix
 from .quality_model import classify
 from .quality_rules import quality_rules
@@ -40,6 +40,10 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = suffix_dedup(_table(spark, folder, "documents"))
     return cut.select(
@@ -55,5 +59,5 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op1_substring_dedup, op2_quality_rules, op4_quality_model, op5_simhash, op8_suffix_dedup, op9_langid, op10_mixing)
+    named = (op1_substring_dedup, op2_quality_rules, op4_quality_model, op5_simhash, op7_toxicity, op8_suffix_dedup, op9_langid, op10_mixing)
     return {query.__name__: query for query in named}
