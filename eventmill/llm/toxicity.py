@@ -3,9 +3,10 @@
 Four small transducers read a clause's words. The lexical one names each word: an insult, a threat, one who
 is meant, a negation, a verb of saying, or other. The negation transducer marks what follows a negation
 closely, the report transducer what follows a verb of saying, the target transducer whether someone is
-meant. They are composed into one machine, whose output for a clause is its matches: what kind, negated or
-not, reported or not, aimed at someone or not. A text's score is a logistic of the counts of these sixteen
-patterns, so a negated or reported insult weighs as the labels say, not as the word alone would.
+meant. They are composed into one machine, whose output for a clause is its matches: what kind (an insult, a
+threat, or a word that is an insult only now and then), negated or not, reported or not, aimed at someone or
+not. A text's score is a logistic of the counts of these patterns and of its length, so a negated or
+reported insult weighs as the labels say, not as the word alone would.
 
 Learned from a bounded sample of labelled rows: the insults, as word beginnings that stand in toxic texts
 and hardly in others (so that inflected forms count), and the patterns' weights, held near a stated prior
@@ -43,15 +44,18 @@ SAYING = ("said", "says", "say", "wrote", "writes", "called", "claimed", "report
 
 #: Words that a negation reaches; lengths of learned beginnings; the least evidence for one.
 SCOPE, SHORTEST, LONGEST_STEM = 3, 3, 8
-LEAST_TEXTS, LEAST_LOG_RATIO, MOST_STEMS, MOST_CANDIDATES = 3, 3.5, 2_000, 20_000
-#: Prior logits: no evidence, a match, aimed, negated, reported; and how firmly they hold.
-PRIOR, MATCH, AIMED, NEGATED, REPORTED, HOLD = -3.0, 5.0, 1.0, -5.0, -3.0, 0.05
-
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
+LEAST_TEXTS, MOST_STEMS, MOST_CANDIDATES = 3, 2_000, 20_000
+#: The log ratio of a beginning's share in toxic and in clean texts: of a doubtful one, of a certain one;
+#: and the share of its texts that a longer beginning must keep to stand for it.
+DOUBTFUL_RATIO, CERTAIN_RATIO, KEEPS = 2.5, 5.0, 0.9
+#: Prior logits: no evidence, a match, a doubtful one, aimed, negated, reported; and how firmly they hold.
+PRIOR, MATCH, DOUBTFUL_MATCH, AIMED, NEGATED, REPORTED, HOLD = -3.0, 5.0, 1.0, 1.0, -5.0, -3.0, 0.05
+
+INSULT, THREAT, DOUBTFUL, TARGET, NEGATION, REPORT, OTHER = SYMBOLS = range(7)
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _CLAUSE_END = re.compile(r"[.!?;:,\n\r()]")
-#: Every pattern: (threat, negated, reported, aimed).
-PATTERNS = list(product((0, 1), repeat=4))
+#: Every pattern: (kind, negated, reported, aimed); the kinds are the first three symbols.
+PATTERNS = list(product((INSULT, THREAT, DOUBTFUL), (0, 1), (0, 1), (0, 1)))
 
 
 @dataclass(frozen=True)
@@ -69,7 +73,7 @@ class Transducer:
         width = 1 + max(other.puts.values())
         while todo:
             a, b = todo.pop()
-            for symbol in range(6):
+            for symbol in SYMBOLS:
                 to = self.moves[a, symbol], other.moves[b, symbol]
                 if to not in names:
                     names[to] = len(names)
@@ -80,12 +84,12 @@ class Transducer:
 
 
 def _machine(states: int, move, put) -> Transducer:
-    keys = list(product(range(states), range(6)))
+    keys = list(product(range(states), SYMBOLS))
     return Transducer(0, {k: move(*k) for k in keys}, {k: put(*k) for k in keys})
 
 
-#: 0 nothing, 1 an insult, 2 a threat.
-MATCHER = _machine(1, lambda s, x: 0, lambda s, x: 1 if x == INSULT else 2 if x == THREAT else 0)
+#: 0 nothing, else one more than the kind.
+MATCHER = _machine(1, lambda s, x: 0, lambda s, x: x + 1 if x in (INSULT, THREAT, DOUBTFUL) else 0)
 #: The state counts the words still reached.
 NEGATING = _machine(SCOPE + 1, lambda s, x: SCOPE if x == NEGATION else max(0, s - 1), lambda s, x: int(s > 0))
 REPORTING = _machine(2, lambda s, x: int(s or x == REPORT), lambda s, x: s)
@@ -107,7 +111,8 @@ def clause_patterns(symbols: list[int]) -> list[int]:
 
 @dataclass
 class ToxicityModel:
-    stems: list[str]
+    stems: dict[str, bool]
+    """Learned beginnings, and whether they are certain."""
     base: float
     weights: np.ndarray
 
@@ -127,14 +132,10 @@ class ToxicityModel:
             return NEGATION
         if word in SAYING:
             return REPORT
-        if word.startswith(INSULTS) or any(word[:n] in self._stem_set() for n in range(SHORTEST, LONGEST_STEM + 1)):
+        if word.startswith(INSULTS):
             return INSULT
-        return OTHER
-
-    def _stem_set(self) -> frozenset[str]:
-        if not hasattr(self, "_known"):
-            self._known = frozenset(self.stems)
-        return self._known
+        known = [self.stems[word[:n]] for n in range(SHORTEST, LONGEST_STEM + 1) if word[:n] in self.stems]
+        return INSULT if any(known) else DOUBTFUL if known else OTHER
 
     def patterns(self, text: str, lexicon: ahocorasick.Automaton) -> Counter:
         """How often each pattern occurs; only clauses that hold a listed beginning are read word by word."""
@@ -156,19 +157,25 @@ class ToxicityModel:
 
 
 def prior_weights() -> np.ndarray:
-    return np.array([MATCH + AIMED * aimed + NEGATED * negated + REPORTED * reported for _, negated, reported, aimed in PATTERNS])
+    """Of each pattern, and of the text's length."""
+    found = [
+        (DOUBTFUL_MATCH if kind == DOUBTFUL else MATCH) + AIMED * aimed + NEGATED * negated + REPORTED * reported
+        for kind, negated, reported, aimed in PATTERNS]
+    return np.array([*found, 0.0])
 
 
 def _counts(model: ToxicityModel, lexicon: ahocorasick.Automaton, texts: list[str | None]) -> np.ndarray:
-    out = np.zeros((len(texts), len(PATTERNS)))
+    """A row a text: how often each pattern occurs, and the text's length in thousands of characters."""
+    out = np.zeros((len(texts), len(PATTERNS) + 1))
     for row, text in enumerate(texts):
+        out[row, -1] = len(text or "") / 1000
         for pattern, n in model.patterns(text or "", lexicon).items():
             out[row, pattern] = n
     return out
 
 
-def learn_stems(marked: DataFrame) -> list[str]:
-    """Word beginnings that tell toxic texts, from (text, label) rows of the bounded sample."""
+def learn_stems(marked: DataFrame) -> dict[str, bool]:
+    """Word beginnings that tell toxic texts, from (text, label) rows of the bounded sample; whether surely."""
 
     def beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -185,7 +192,7 @@ def learn_stems(marked: DataFrame) -> list[str]:
     sizes = {r.label: r.n for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic:
-        return []
+        return {}
     found = texts.where("label = 1").select("text").mapInArrow(beginnings, "stem string, around string")
     counted = found.groupBy("stem").agg(F.least(F.count("*"), F.count_distinct("around")).alias("n"))
     candidates = {r.stem: r.n for r in counted.where(F.col("n") >= LEAST_TEXTS).orderBy(F.desc("n"), "stem").limit(MOST_CANDIDATES).collect()}
@@ -201,15 +208,33 @@ def learn_stems(marked: DataFrame) -> list[str]:
     others = texts.where("label = 0").select("text").mapInArrow(elsewhere, "stem string, n long")
     clean_of = {r.stem: r.n for r in others.groupBy("stem").agg(F.sum("n").alias("n")).collect()}
     share = toxic / (toxic + clean)
+    children: dict[str, list[str]] = {}
+    for stem in sorted(candidates):
+        children.setdefault(stem[:-1], []).append(stem)
+
+    def ratio(stem: str) -> float:
+        return math.log((candidates[stem] + 0.5) / (toxic + 1)) - math.log((clean_of.get(stem, 0) + 0.5) / (clean + 1))
+
+    def telling(stem: str) -> bool:
+        """More of its texts are toxic than accident would give for any of the words looked at."""
+        n, of = candidates[stem], candidates[stem] + clean_of.get(stem, 0)
+        excess = n * math.log(n / of / share) + (of - n) * math.log(max((1 - n / of) / (1 - share), 1e-300)) if of > n else n * -math.log(share)
+        return ratio(stem) >= DOUBTFUL_RATIO and excess >= math.log(len(candidates) + 1) + 2
+
     chosen: dict[str, int] = {}
-    for stem, n in sorted(candidates.items(), key=lambda x: (len(x[0]), x[0])):
-        against = clean_of.get(stem, 0)
-        ratio = math.log((n + 0.5) / (toxic + 1)) - math.log((against + 0.5) / (clean + 1))
-        # The chance that so many of a word's texts are toxic by accident, for all the words looked at.
-        surprise = n * -math.log(max(share, 1e-9)) - against * 5
-        if ratio >= LEAST_LOG_RATIO and surprise >= math.log(len(candidates) + 1) and not any(stem[:k] in chosen for k in range(SHORTEST, len(stem))):
-            chosen[stem] = n
-    return sorted(chosen, key=lambda s: (-chosen[s], s))[:MOST_STEMS]
+    open_ = [s for s in candidates if len(s) == SHORTEST]
+    while open_:
+        stem = open_.pop()
+        longer = children.get(stem, [])
+        heir = max(longer, key=lambda s: candidates[s], default=None)
+        if heir and candidates[heir] >= KEEPS * candidates[stem]:
+            open_ += longer  # the longer one says as much, and more surely
+        elif telling(stem) and (ratio(stem) >= CERTAIN_RATIO or not any(telling(s) and ratio(s) >= CERTAIN_RATIO for s in longer)):
+            chosen[stem] = candidates[stem]
+        else:
+            open_ += longer
+    best = sorted(chosen, key=lambda s: (-chosen[s], s))[:MOST_STEMS]
+    return {stem: ratio(stem) >= CERTAIN_RATIO for stem in best}
 
 
 def fit_weights(counts: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
@@ -218,7 +243,7 @@ def fit_weights(counts: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
     if not len(y):
         return PRIOR, prior[1:]
     x = np.column_stack([np.ones(len(y)), np.log1p(counts)])
-    hold = np.r_[0.01, np.full(len(PATTERNS), HOLD)] * math.sqrt(len(y))
+    hold = np.r_[0.01, np.full(len(prior) - 1, HOLD)] * math.sqrt(len(y))
     w = prior.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -245,7 +270,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", folds: in
 
     kinds = marked.mapInArrow(features, "label int, counts array<double>").groupBy("label", "counts").count().collect()
     kinds.sort(key=lambda r: (r.label, r.counts))
-    counts = np.repeat(np.array([r.counts for r in kinds]).reshape(-1, len(PATTERNS)), [r["count"] for r in kinds], axis=0)
+    counts = np.repeat(np.array([r.counts for r in kinds]).reshape(-1, len(PATTERNS) + 1), [r["count"] for r in kinds], axis=0)
     model.base, model.weights = fit_weights(counts, np.repeat([float(r.label) for r in kinds], [r["count"] for r in kinds]))
     return model
 
