@@ -21,6 +21,19 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(cut), 0) AS
 FROM words LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+_OP3 = """
+WITH pages_ AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+hashed AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS h FROM pages_),
+holders AS (SELECT h, max(page_id) AS holder FROM hashed GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+           ((CAST('0x' || substr(h, 10 * (i // 8) + 1, 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31) + 1 AS BIGINT), 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> holder THEN holder END AS refers_to
+FROM hashed JOIN holders USING (h)
+"""
+
 _OP8 = """
 WITH hexed AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
 windows AS (SELECT doc_id, unnest(range(0, len(h) // 2 - 199)) AS s, h FROM hexed),
@@ -98,5 +111,5 @@ FROM whole
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_substring_dedup": _OP1, "op2_quality_rules": _OP2, "op8_suffix_dedup": _OP8, "op10_mixing": _OP10,
+        "op1_substring_dedup": _OP1, "op2_quality_rules": _OP2, "op3_warc": _OP3, "op8_suffix_dedup": _OP8, "op10_mixing": _OP10,
     }

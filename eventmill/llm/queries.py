@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, toxicity
+from ..session import scratch_path
+from . import langid, toxicity, warc
+from .decontaminate import contaminated
 from .mixing import mix
 from .quality_model import classify
 from .quality_rules import quality_rules
@@ -32,6 +34,11 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    read = warc.round_trip(spark, _table(spark, folder, "pages"), scratch_path(spark, "warc"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     return classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -40,6 +47,10 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -59,5 +70,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    named = (op1_substring_dedup, op2_quality_rules, op4_quality_model, op5_simhash, op7_toxicity, op8_suffix_dedup, op9_langid, op10_mixing)
+    named = (
+        op1_substring_dedup, op2_quality_rules, op3_warc, op4_quality_model, op5_simhash, op6_decontamination,
+        op7_toxicity, op8_suffix_dedup, op9_langid, op10_mixing)
     return {query.__name__: query for query in named}
