@@ -27,18 +27,28 @@ WEIGHTS, TOTAL, EPOCHS, SEED = (5, 2, 1), 1.5, 2, 42
 RANGE_DIGITS = 3
 
 
-def sized(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.size(words(F.col("text"))).cast("long").alias("size"))
+
+def _source_key() -> Column:
+    """The source, or what stands for a null one, after all others."""
+    return F.when(F.col("source").isNull(), "b").otherwise(F.concat(F.lit("a"), F.col("source")))
+
+
+def sized(documents: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, source, source_key, size, and what is only carried along."""
+    along = [F.struct(*carried).alias("carried")] if carried else []
+    return documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "source", _source_key().alias("source_key"),
+        F.size(words(F.col("text"))).cast("long").alias("size"), *along)
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTAL, epochs: int = EPOCHS) -> DataFrame:
-    """source, source_size and target, from (source, size) rows. The windows run over sources, not documents."""
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    place = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
+    """source_key, source_size and target. The windows run over sources, not documents."""
+    sources = sizes.groupBy("source_key").agg(F.sum("size").alias("source_size"))
+    place = (F.row_number().over(Window.orderBy("source_key")) - 1) % len(weights)
     cap: Column = F.lit(epochs) * F.col("source_size")
     named = sources.withColumn("weight", F.element_at(F.array(*(F.lit(w) for w in weights)), (place + 1).cast("int")))
     named = named.withColumn("cap", cap)
-    order = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
+    order = Window.orderBy(F.col("cap") / F.col("weight"), "source_key")
     everything = Window.partitionBy()
     before = F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     after = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
@@ -48,27 +58,31 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float =
     below = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct(F.col("cap") / F.col("weight"), F.col("level").alias("level")))
     settled = filled.withColumn("common", F.min(below).over(everything)["level"])
     target = F.least(F.coalesce(F.col("common") * F.col("weight"), F.col("cap").cast("double")), F.col("cap").cast("double"))
-    return settled.select("source", "source_size", target.alias("target"))
+    return settled.select("source_key", "source_size", target.alias("target"))
+
 
+def mix(
+    documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTAL, epochs: int = EPOCHS, seed: int = SEED,
+    carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, and taken: the words that the mix takes of the document.
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTAL, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target, and taken: the words that the mix takes of the document."""
+    ``carried``: columns that go along, as a struct of that name.
+    """
     spark = documents.sparkSession
     path = scratch_path(spark, "mix-sizes")
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized(documents).withColumn("key", key).withColumn("range", F.substring("key", 1, RANGE_DIGITS)).write.parquet(path)
-    docs = spark.read.parquet(path)
-    shares = targets(docs, weights, total, epochs)
-    ranges = docs.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
-    by_range = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    rows = sized(documents, *carried).withColumn("key", key).withColumn("range", F.substring("key", 1, RANGE_DIGITS))
+    rows.write.parquet(path)
+    docs = spark.read.schema(rows.schema).parquet(path)
+    ranges = docs.groupBy("source_key", "range").agg(F.sum("size").alias("range_size"))
+    by_range = Window.partitionBy("source_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("start", F.coalesce(F.sum("range_size").over(by_range), F.lit(0))).drop("range_size")
-    ranges = ranges.alias("r").join(shares.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source"))).select(
-        F.col("r.source").alias("of"), F.col("range").alias("within"), "start", "source_size", "target")
-    within = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size")
-    ordered = docs.withColumn("before", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size"))
-    joined = ordered.join(ranges, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("within")))
+    ranges = ranges.join(targets(docs, weights, total, epochs), "source_key")
+    within = Window.partitionBy("source_key", "range").orderBy("key", "doc_id", "size")
+    before = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
+    joined = docs.withColumn("before", before).join(ranges, ["source_key", "range"])
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("target") - whole * F.col("source_size")
     once_more = (F.col("start") + F.col("before") + F.col("size") / 2 <= rest).cast("long")
-    return joined.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * (whole + once_more)).cast("long").alias("taken"))
+    taken = (F.col("size") * (whole + once_more)).cast("long").alias("taken")
+    return joined.select("doc_id", "source", "size", "source_size", "target", taken, *(["carried"] if carried else []))

@@ -25,11 +25,12 @@ _LAST = (1 << 63) - 1
 Units = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    """doc_id, text, and the id by which rows are ordered and joined."""
+def keyed(documents: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, text, the id by which rows are ordered and joined, and what is only carried along."""
     ship(documents.sparkSession)
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), order.alias("id"))
+    along = [F.struct(*carried).alias("carried")] if carried else []
+    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), order.alias("id"), *along)
 
 
 def _ordinal(keys: np.ndarray) -> np.ndarray:

@@ -65,8 +65,11 @@ def majorities(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(documents: DataFrame, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and its text's 64-bit SimHash, as a long. A null text has no words; no words give zero."""
+def fingerprints(documents: DataFrame, size: int = SHINGLE, seed: int = SEED, keep: str = "") -> DataFrame:
+    """doc_id and its text's 64-bit SimHash, as a long. A null text has no words; no words give zero.
+
+    ``keep``: a long column that goes along.
+    """
     ship(documents.sparkSession)
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,9 +79,12 @@ def fingerprints(documents: DataFrame, size: int = SHINGLE, seed: int = SEED) ->
                 hashes = [shingle_hashes(t, size, seed) for t in texts[low:high]]
                 every = np.fromiter((h for x in hashes for h in x), dtype=np.uint64)
                 found = majorities(every, np.array([len(x) for x in hashes]))
-                yield arrow.batch(doc_id=rows.column("doc_id").slice(low, high - low), fingerprint=arrow.signed(found))
+                along = {name: rows.column(name).slice(low, high - low) for name in kept}
+                yield arrow.batch(doc_id=along["doc_id"], fingerprint=arrow.signed(found), **{n: along[n] for n in kept[1:]})
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(prints, "doc_id long, fingerprint long")
+    kept = ["doc_id", keep] if keep else ["doc_id"]
+    schema = ", ".join(["doc_id long, fingerprint long", *(f"{name} long" for name in kept[1:])])
+    return documents.select(*(F.col(name).cast("long").alias(name) for name in kept), "text").mapInArrow(prints, schema)
 
 
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -165,22 +171,47 @@ def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile: in
     return keyed.repartition("table", "key").sortWithinPartitions("table", "key").mapInArrow(compare, "u long, v long").distinct()
 
 
+def _members(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """fingerprint, the root of its component, and component_id."""
+    nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    stars = connected(links(nodes.select("fingerprint"), radius, blocks))
+    rooted = nodes.join(stars.withColumnRenamed("u", "fingerprint"), "fingerprint", "left").select(
+        "fingerprint", "first", F.coalesce("v", "fingerprint").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rooted.join(least, "root").select("fingerprint", "root", "component_id")
+
+
+def _stored(prints: DataFrame) -> DataFrame:
+    path = scratch_path(prints.sparkSession, "simhash")
+    prints.write.parquet(path)
+    return prints.sparkSession.read.schema(prints.schema).parquet(path)
+
+
 def near_duplicates(documents: DataFrame, size: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id: the least doc_id that links lead to.
 
     Decided cases: a null or wordless text has fingerprint zero and is linked like any other. Rows that
     repeat an id or a text are rows of their own, in the same component if their fingerprints link. A null
-    doc_id comes last: it is a component's id only if that has no other. An empty table gives no rows.
+    doc_id comes last: it is a component's id only if that has no other. Other columns are ignored. An empty
+    table gives no rows.
     """
-    spark = documents.sparkSession
-    path = scratch_path(spark, "simhash")
-    fingerprints(documents, size).write.parquet(path)
-    prints = spark.read.schema("doc_id long, fingerprint long").parquet(path)
-    nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    stars = connected(links(nodes.select("fingerprint"), radius, blocks))
-    rooted = nodes.join(stars.withColumnRenamed("u", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "first", F.coalesce("v", "fingerprint").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    members = rooted.join(least, "root").select("fingerprint", "component_id")
+    prints = _stored(fingerprints(documents, size))
+    members = _members(prints, radius, blocks)
     return prints.join(members, "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(documents: DataFrame, size: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """The documents, with all their columns, that come first in their component: one row of each.
+
+    The first has the least doc_id, null last; of rows that share it, the least text hash. The columns
+    __id and __text are used on the way.
+    """
+    order = {"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "__text": F.xxhash64("text")}
+    docs = documents.withColumns(order)
+    narrow = docs.select(F.col("__id").alias("doc_id"), "text", "__text")
+    prints = _stored(fingerprints(narrow, size, keep="__text"))
+    members = _members(prints, radius, blocks)
+    firsts = prints.join(members, "fingerprint").groupBy("root").agg(F.min(F.struct("doc_id", "__text")).alias("x"))
+    firsts = firsts.select(F.col("x.doc_id").alias("__id"), F.col("x.__text").alias("__text"))
+    return docs.join(firsts, ["__id", "__text"], "left_semi").dropDuplicates(["__id", "__text"]).select(*documents.columns)

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from ..session import scratch_path
 from . import anchors, arrow, seeds
@@ -138,7 +139,22 @@ def _hot_windows(joined: DataFrame, length: int) -> DataFrame:
     return counted.where("copies = 1").select("id", "spot")
 
 
-def _cut(joined: DataFrame, length: int) -> DataFrame:
+def _whole(text: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shrinks stretches of UTF-8 to whole characters."""
+    def start(at: int, step: int) -> int:
+        while 0 < at < len(text) and text[at] & 0xC0 == 0x80:
+            at += step
+        return at
+
+    begin = np.array([start(int(a), 1) for a in begin], dtype=np.int64)
+    end = np.array([start(int(b), -1) for b in end], dtype=np.int64)
+    real = begin < end
+    return begin[real], end[real]
+
+
+def _cut(joined: DataFrame, length: int, whole: bool) -> DataFrame:
+    carried = [f for f in joined.schema if f.name == "carried"]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             doc_ids, texts = rows.column("doc_id"), arrow.bytes_of(rows, "text")
@@ -151,22 +167,29 @@ def _cut(joined: DataFrame, length: int) -> DataFrame:
                     new = seeds.flags(np.concatenate([alone.of(at), once.of(at)]), windows, tag)
                     gone = anchors.covered(~new, length) if windows else np.zeros(len(text), dtype=bool)
                     edge = np.flatnonzero(np.diff(gone, prepend=False, append=False))
-                    begin, end = edge[0::2], edge[1::2]
+                    begin, end = _whole(text, edge[0::2], edge[1::2]) if whole else (edge[0::2], edge[1::2])
                     removed.append(int((end - begin).sum()))
                     stretches.append((begin, end))
-                    kept.append(b"".join(text[a:b] for a, b in zip(np.r_[0, end], np.r_[begin, len(text)])) if len(edge) else text)
+                    kept.append(b"".join(text[a:b] for a, b in zip(np.r_[0, end], np.r_[begin, len(text)])) if len(begin) else text)
                 yield arrow.batch(
                     doc_id=doc_ids.slice(low, high - low), n_bytes=[len(t) for t in texts[low:high]], n_removed=removed,
-                    spans=arrow.spans(stretches), kept=pa.array(kept, pa.binary()))
+                    spans=arrow.spans(stretches), kept=pa.array(kept, pa.binary()),
+                    **{f.name: rows.column(f.name).slice(low, high - low) for f in carried})
+
+    schema = StructType.fromDDL("doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
+    return joined.mapInArrow(cut, StructType([*schema, *carried]))
 
-    return joined.mapInArrow(
-        cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
 
+def suffix_dedup(
+    documents: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST_CONTEXTS, carried: tuple[str, ...] = (),
+    whole: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, the removed byte spans, and the remaining bytes.
 
-def suffix_dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST_CONTEXTS) -> DataFrame:
-    """doc_id, n_bytes, n_removed, the removed byte spans, and the remaining bytes."""
+    ``carried``: columns that go along, as a struct of that name. ``whole``: characters that lie only partly
+    in a repeat stay, so that the remaining bytes are text.
+    """
     spark = documents.sparkSession
-    docs = seeds.keyed(documents)
+    docs = seeds.keyed(documents, *carried)
     found = seeds.classes(seeds.occurrences(docs, _byte_units, length, gram, apart=False), hot=most)
     path = scratch_path(spark, "suffix-entries")
     twice, hot = (F.col("copies") > 1).cast("long"), (F.col("shared") > 1).cast("long")
@@ -176,8 +199,8 @@ def suffix_dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, m
     ).write.parquet(path)
     entries = spark.read.schema(f"id long, alone array<long>, edges {_EDGE}").parquet(path)
     # The same columns as in the last join, so that Spark shuffles the texts once for all.
-    near = docs.join(entries, "id").where("size(edges) > 0").select("doc_id", "id", "text", "alone", "edges")
+    near = docs.join(entries, "id").where("size(edges) > 0").select(*docs.columns, "alone", "edges")
     once = _sorted_blocks(_contexts(near, length), length).unionByName(_hot_windows(near, length))
     once = once.groupBy("id").agg(F.collect_list("spot").alias("once"))
     joined = docs.join(entries, "id", "left").join(once, "id", "left")
-    return _cut(joined.select("doc_id", "id", "text", "alone", "edges", "once"), length)
+    return _cut(joined.select(*docs.columns, "alone", "edges", "once"), length, whole)

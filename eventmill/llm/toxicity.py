@@ -289,6 +289,18 @@ def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def drop_toxic(documents: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The documents, with all their columns, that score below one half."""
+    ship(documents.sparkSession)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = model.lexicon()
+        for rows in batches:
+            yield rows.filter(pa.array(model.score(_counts(model, lexicon, rows.column("text").to_pylist())) < 0.5))
+
+    return documents.mapInArrow(keep, documents.schema)
+
+
 def classify(documents: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, held: int = 0, most: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted."""
     found = score(documents, fit(documents, labels, label, folds, held, most))
