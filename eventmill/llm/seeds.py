@@ -18,6 +18,7 @@ from . import anchors
 from .arrow import batch, bytes_of, longs_of, signed
 from .hashing import groups, mix
 from .workspace import ship
+from ..session import scratch_path
 
 #: The order of a missing id: after all others.
 _LAST = (1 << 63) - 1
@@ -67,8 +68,11 @@ def occurrences(docs: DataFrame, units: Units, length: int, gram: int, apart: bo
 def classes(occurrences: DataFrame, hot: int) -> DataFrame:
     """A row for each class: its first occurrence, the number of them, and whether its anchor is shared by
     other classes (0 no, 1 yes, 2 by more than ``hot``)."""
-    found = occurrences.groupBy("gram", "context").agg(
-        F.min("id").alias("id"), F.min_by("spot", "id").alias("spot"), F.count("*").alias("copies"))
+    spark = occurrences.sparkSession
+    path = scratch_path(spark, "anchor-classes")
+    occurrences.groupBy("gram", "context").agg(
+        F.min("id").alias("id"), F.min_by("spot", "id").alias("spot"), F.count("*").alias("copies")).write.parquet(path)
+    found = spark.read.schema("gram long, context long, id long, spot long, copies long").parquet(path)  # read twice
     shared = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     level: Column = F.when(F.col("n").isNull(), 0).when(F.col("n") <= hot, 1).otherwise(2)
     return found.join(shared, "gram", "left").select("gram", "id", "spot", "copies", level.alias("shared"))

@@ -270,8 +270,9 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", folds: in
 
     kinds = marked.mapInArrow(features, "label int, counts array<double>").groupBy("label", "counts").count().collect()
     kinds.sort(key=lambda r: (r.label, r.counts))
-    counts = np.repeat(np.array([r.counts for r in kinds]).reshape(-1, len(PATTERNS) + 1), [r["count"] for r in kinds], axis=0)
-    model.base, model.weights = fit_weights(counts, np.repeat([float(r.label) for r in kinds], [r["count"] for r in kinds]))
+    times = np.array([r["count"] for r in kinds], dtype=np.int64)
+    counts = np.repeat(np.array([r.counts for r in kinds]).reshape(-1, len(PATTERNS) + 1), times, axis=0)
+    model.base, model.weights = fit_weights(counts, np.repeat(np.array([float(r.label) for r in kinds]), times))
     return model
 
 
