@@ -68,8 +68,9 @@ def word_counts(documents: DataFrame) -> DataFrame:
 def _hashes(units: list[str]) -> np.ndarray:
     """Of each string, the hash of its code points."""
     points = np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    ends = np.cumsum([len(u) for u in units])
-    return Rolling(mix(points + np.uint64(1)), BASES[0]).of(ends - [len(u) for u in units], ends)
+    sizes = np.array([len(u) for u in units], dtype=np.int64)
+    ends = np.cumsum(sizes)
+    return Rolling(mix(points + np.uint64(1)), BASES[0]).of(ends - sizes, ends)
 
 
 @dataclass
