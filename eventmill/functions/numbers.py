@@ -4,9 +4,12 @@ from pyspark.sql import Column, functions as F
 
 
 def safe_ratio(part: Column, whole: Column) -> Column:
-    """part/whole to four places; 0 where there is nothing to divide by."""
+    """part/whole to four places; 0 where there is nothing to divide by.
+
+    Twenty digits, as the counts of one click and many views may well give a ratio beyond a million.
+    """
     quotient = F.when(whole == 0, F.lit(0.0)).otherwise(part.cast("double") / whole)
-    return F.round(quotient, 4).cast("decimal(10,4)")
+    return F.round(quotient, 4).cast("decimal(20,4)")
 
 
 def whole_minutes(start: Column, end: Column) -> Column:

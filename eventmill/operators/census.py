@@ -32,7 +32,3 @@ def row_count(rows: DataFrame) -> DataFrame:
 def by_partition_day(filed: DataFrame) -> DataFrame:
     """Records per day folder (`date`)."""
     return filed.groupBy("date").agg(F.count("*").alias("cnt"))
-
-
-def dead_letters_by_reason(letters: DataFrame) -> DataFrame:
-    return letters.groupBy("reason").agg(F.count("*").alias("cnt"))

@@ -40,22 +40,30 @@ def campaign_names(events: DataFrame) -> DataFrame:
 
 
 def session_flags(events: DataFrame) -> DataFrame:
-    """Steps each session reached, with the campaign name it saw, from one scan.
+    """Steps each session reached, by a hash aggregate of flags.
 
     A hot campaign is split over its sessions here, and a hot session shrinks to one row per
     task before the shuffle; what is left per campaign is summed map-side in the next step.
     """
     return events.groupBy(*KEYS, "session_id").agg(
-        *(F.max(is_type(step).cast("int")).alias(f"has_{step}") for step in STEPS),
-        F.max("campaign_name").alias("campaign_name"),
+        *(F.max(is_type(step).cast("int")).alias(f"has_{step}") for step in STEPS)
     )
 
 
 def campaign_funnel(valid: DataFrame) -> DataFrame:
-    """The campaign's name is the last of its sessions' names, which needs no second scan."""
-    reached = session_flags(campaign_events(valid)).groupBy(*KEYS).agg(
-        *(F.sum(f"has_{step}").alias(f"{step}_sessions") for step in STEPS),
-        F.coalesce(F.max("campaign_name"), F.lit(UNKNOWN)).alias("campaign_name"),
+    return funnel_of(campaign_events(valid))
+
+
+def funnel_of(events: DataFrame) -> DataFrame:
+    """The mart from stored campaign events, which are read twice, by a few columns each time.
+
+    Names are a small aggregate of their own: carried along, their text would make every step sort.
+    """
+    counted = session_flags(events).groupBy(*KEYS).agg(
+        *(F.sum(f"has_{step}").alias(f"{step}_sessions") for step in STEPS)
+    )
+    reached = counted.join(campaign_names(events), list(KEYS), "left").withColumn(
+        "campaign_name", F.coalesce("campaign_name", F.lit(UNKNOWN))
     )
     clicks = F.col("promotion_click_sessions")
     return conform(

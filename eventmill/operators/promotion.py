@@ -2,9 +2,9 @@
 
 Two properties of the report are kept on purpose:
 
-* Rows are keyed by names as well as ids, but are matched to their counts by ids only. A
-  promotion seen under m name variants on a day thus yields m x m rows. `match_names=True`
-  matches on the names too and yields m rows.
+* Rows are keyed by names as well as ids. By default each has the counts of its own names, so a
+  promotion seen under m name variants on a day yields m rows. The report this one stands in for
+  matches rows to counts by ids only, which yields m x m rows; `match_names=False` gives that form.
 * What followed a click is known by promotion and device, not by placement. It appears on a row
   of its own (NULL placement) and again on every placement row of that promotion and device.
   Never add those columns up across placements.
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import safe_ratio
 from ..functions.rules import PRODUCT_TYPES, PROMOTION_TYPES, is_type, usable_key
@@ -93,26 +93,39 @@ def _equal(names: tuple[str, ...], left: str, right: str) -> Column:
     return reduce(Column.__and__, pairs)
 
 
-def promotion_performance(rollup: DataFrame, match_names: bool = False) -> DataFrame:
-    """The report from a roll-up that has been stored or persisted (it is read three times)."""
-    by_promotion = (*PROMOTION, "placement", *(NAMES if match_names else ()))
-    joined = (
-        key_spine(rollup).alias("k")
-        .join(promotion_counts(rollup).alias("p"), _equal(by_promotion, "k", "p"), "left")
-        .join(after_click_counts(rollup).alias("a"), _equal(PROMOTION, "k", "a"), "left")
+def _counts_by_ids(rollup: DataFrame) -> DataFrame:
+    """Every row key with the counts of all its name variants, a row for each."""
+    joined = key_spine(rollup).alias("k").join(
+        promotion_counts(rollup).alias("p"), _equal((*PROMOTION, "placement"), "k", "p"), "left"
+    ).join(after_click_counts(rollup).alias("a"), _equal(PROMOTION, "k", "a"), "left")
+    return joined.select(
+        *(F.col(f"k.{name}").alias(name) for name in (*PROMOTION, "placement")),
+        *(F.coalesce(f"k.{name}", f"p.{name}").alias(name) for name in NAMES),
+        *(F.coalesce(f"p.{name}", F.lit(0)).alias(name) for name in SHOWN),
+        *(F.coalesce(f"a.{name}", F.lit(0)).alias(name) for name in FOLLOWED),
     )
-    counts = {name: F.coalesce(f"p.{name}", F.lit(0)) for name in SHOWN}
-    counts |= {name: F.coalesce(f"a.{name}", F.lit(0)) for name in FOLLOWED}
-    views, clicks = counts["promotion_views"], counts["promotion_clicks"]
+
+
+def _counts_by_names(rollup: DataFrame) -> DataFrame:
+    """Every row of the roll-up with what followed a click on its promotion and device.
+
+    That stands on the one row of the promotion without placement; a window hands it to the others,
+    so the roll-up is read once. A window holds the names and placements of one promotion on one day.
+    """
+    whole = Window.partitionBy(*PROMOTION)
+    return rollup.select(*KEYS, *SHOWN, *(F.max(name).over(whole).alias(name) for name in FOLLOWED))
+
+
+def promotion_performance(rollup: DataFrame, match_names: bool = True) -> DataFrame:
+    """The report from a roll-up; one that is stored, if names are not matched (it is then read three times)."""
+    counted = _counts_by_names(rollup) if match_names else _counts_by_ids(rollup)
+    views, clicks = F.col("promotion_views"), F.col("promotion_clicks")
     return conform(
-        joined.select(
-            *(F.col(f"k.{name}").alias(name) for name in (*PROMOTION, "placement")),
-            *(F.coalesce(f"k.{name}", f"p.{name}").alias(name) for name in NAMES),
-            *(column.alias(name) for name, column in counts.items()),
-            safe_ratio(clicks, views).alias("ctr"),
-            safe_ratio(counts["product_views_after_click"], clicks).alias("product_view_rate_after_click"),
-            safe_ratio(counts["add_to_cart_after_click"], clicks).alias("add_to_cart_rate_after_click"),
-            F.current_timestamp().alias("last_updated_at"),
-        ),
+        counted.withColumns({
+            "ctr": safe_ratio(clicks, views),
+            "product_view_rate_after_click": safe_ratio(F.col("product_views_after_click"), clicks),
+            "add_to_cart_rate_after_click": safe_ratio(F.col("add_to_cart_after_click"), clicks),
+            "last_updated_at": F.current_timestamp(),
+        }),
         PROMOTION_PERFORMANCE,
     )

@@ -1,8 +1,8 @@
 """Reads of the marts: filtered and cut lists, rankings, totals, report lines.
 
-Every list is first cut to the newest `limit` rows of the (filtered) mart; rankings and totals
-work on that cut, as the service they answer for does. Each cut and ranking has a total order,
-so results do not depend on how the mart happens to be stored.
+A list holds all rows of the (filtered) mart unless a page of `limit` rows is asked for; rankings and
+totals work on the list they are given. Each list and ranking has a total order, so results do not
+depend on how the mart happens to be stored.
 """
 
 from __future__ import annotations
@@ -17,47 +17,67 @@ from ..schemas import (
     FUNNEL_NULLABLE, FUNNEL_SERVED, HEALTH_NULLABLE, HEALTH_SERVED, PROMOTION_NULLABLE, PROMOTION_SERVED,
 )
 
-# Rows per list, rows per ranking and the most a ranking may ask for.
-LIST_LIMIT, RANK_DEFAULT, RANK_MOST = 500, 5, 20
+# Rows per page of a list, rows per ranking.
+PAGE, RANK_DEFAULT = 500, 5
 
 
-def _newest(mart: DataFrame, columns: list[str], sdk_key: str | None, limit: int) -> DataFrame:
+def _at_least_one(rows: int) -> int:
+    if rows < 1:
+        raise ValueError(f"{rows} rows were asked for")
+    return rows
+
+
+def _then(order: list[Column], columns: list[str], used: tuple[str, ...]) -> list[Column]:
+    """The order, made total by the other columns: a tie that is left is between equal rows."""
+    return [*order, *(F.col(name).asc_nulls_last() for name in columns if name not in used)]
+
+
+def _newest(mart: DataFrame, columns: list[str], sdk_key: str | None, limit: int | None) -> DataFrame:
     key = (sdk_key or "").strip()
     rows = mart.filter(F.col("sdk_key") == key) if key else mart
     newest_first = [F.col("event_date").desc_nulls_last()]
-    rest = [F.col(name).asc_nulls_last() for name in columns if name != "event_date"]
-    # Ordering by columns of the list itself: a tie that is left is between equal rows.
-    return rows.select(*columns).orderBy(*newest_first, *rest).limit(max(1, limit))
+    ordered = rows.select(*columns).orderBy(*_then(newest_first, columns, ("event_date",)))
+    return ordered if limit is None else ordered.limit(_at_least_one(limit))
 
 
-def health_rows(mart: DataFrame, sdk_key: str | None = None, limit: int = LIST_LIMIT) -> DataFrame:
+def health_rows(mart: DataFrame, sdk_key: str | None = None, limit: int | None = None) -> DataFrame:
     return _newest(mart, HEALTH_SERVED, sdk_key, limit)
 
 
-def promotion_rows(mart: DataFrame, sdk_key: str | None = None, limit: int = LIST_LIMIT) -> DataFrame:
+def promotion_rows(mart: DataFrame, sdk_key: str | None = None, limit: int | None = None) -> DataFrame:
     """Device type is not among the columns, so rows may look alike."""
     return _newest(mart, PROMOTION_SERVED, sdk_key, limit)
 
 
-def funnel_rows(mart: DataFrame, sdk_key: str | None = None, limit: int = LIST_LIMIT) -> DataFrame:
+def funnel_rows(mart: DataFrame, sdk_key: str | None = None, limit: int | None = None) -> DataFrame:
     return _newest(mart, FUNNEL_SERVED, sdk_key, limit)
 
 
-def dashboard_health(mart: DataFrame, sdk_key: str | None = None, limit: int = LIST_LIMIT) -> DataFrame:
-    return health_rows(mart, sdk_key, limit).orderBy(F.desc("event_date"))
+def dashboard_health(mart: DataFrame, sdk_key: str | None = None, limit: int | None = None) -> DataFrame:
+    order = _then([F.desc_nulls_last("event_date")], HEALTH_SERVED, ("event_date",))
+    return health_rows(mart, sdk_key, limit).orderBy(*order)
 
 
-def dashboard_promotion(mart: DataFrame, sdk_key: str | None = None, limit: int = LIST_LIMIT) -> DataFrame:
-    return promotion_rows(mart, sdk_key, limit).orderBy(F.desc("event_date"), F.desc("ctr"))
+def dashboard_promotion(mart: DataFrame, sdk_key: str | None = None, limit: int | None = None) -> DataFrame:
+    newest = [F.desc_nulls_last("event_date"), F.desc_nulls_last("ctr")]
+    return promotion_rows(mart, sdk_key, limit).orderBy(*_then(newest, PROMOTION_SERVED, ("event_date", "ctr")))
 
 
-def dashboard_funnel(mart: DataFrame, sdk_key: str | None = None, limit: int = LIST_LIMIT) -> DataFrame:
-    return funnel_rows(mart, sdk_key, limit).orderBy(F.desc("event_date"), F.desc("promotion_view_sessions"))
+def dashboard_funnel(mart: DataFrame, sdk_key: str | None = None, limit: int | None = None) -> DataFrame:
+    newest = [F.desc_nulls_last("event_date"), F.desc_nulls_last("promotion_view_sessions")]
+    return funnel_rows(mart, sdk_key, limit).orderBy(
+        *_then(newest, FUNNEL_SERVED, ("event_date", "promotion_view_sessions")))
+
+
+def by_day_and(mart: DataFrame, measure: str) -> DataFrame:
+    """A whole mart, newest day first and largest measure first within it."""
+    newest = [F.desc_nulls_last("event_date"), F.desc_nulls_last(measure)]
+    return mart.orderBy(*_then(newest, mart.columns, ("event_date", measure)))
 
 
 def dashboard(
     health: DataFrame, promotion: DataFrame, funnel: DataFrame,
-    sdk_key: str | None = None, limit: int = LIST_LIMIT,
+    sdk_key: str | None = None, limit: int | None = None,
 ) -> dict[str, DataFrame]:
     """The three lists of one dashboard load, each in display order."""
     return {
@@ -87,11 +107,8 @@ def _count_text(name: str) -> Column:
 
 
 def latest_day(rows: DataFrame) -> DataFrame:
-    """Health rows of the newest day in a served list, with their report text.
-
-    The window has no partition key; it spans one served list, at most `limit` rows.
-    """
-    newest = F.max("event_date").over(Window.partitionBy())
+    """Health rows of the newest day in a list, with their report text."""
+    newest = rows.agg(F.max("event_date").alias("newest"))  # one row
     line = F.format_string(
         "- sdk_key: %s\n  raw=%d, valid=%d, invalid=%d\n  invalid_ratio=%s, sessions=%d",
         F.coalesce("sdk_key", F.lit("-")),
@@ -99,8 +116,7 @@ def latest_day(rows: DataFrame) -> DataFrame:
         percent_text(F.col("invalid_event_ratio")), _count_text("distinct_sessions"),
     )
     return (
-        rows.withColumn("newest", newest)
-        .filter(F.col("event_date").eqNullSafe(F.col("newest")))
+        rows.join(F.broadcast(newest), F.col("event_date").eqNullSafe(F.col("newest")))
         .drop("newest")
         .withColumn("line", line)
     )
@@ -108,7 +124,7 @@ def latest_day(rows: DataFrame) -> DataFrame:
 
 def _ranked(rows: DataFrame, k: int, by: list[Column], then: list[str]) -> DataFrame:
     order = [column.desc_nulls_last() for column in by] + [F.col(name).asc_nulls_last() for name in then]
-    top = rows.orderBy(*order).limit(max(1, min(RANK_MOST, k)))
+    top = rows.orderBy(*order).limit(_at_least_one(k))
     return top.withColumn("place", F.row_number().over(Window.partitionBy().orderBy(*order)))
 
 

@@ -61,7 +61,7 @@ def classify(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("error_code", first_error())
 
 
-def first_per_event(classified: DataFrame) -> DataFrame:
+def ranked(classified: DataFrame) -> DataFrame:
     """The surviving row of every event id, plus every row that has no event id.
 
     Spark keeps only each task's own best copy per event id before the shuffle (partial window
@@ -81,10 +81,14 @@ def first_per_event(classified: DataFrame) -> DataFrame:
         classified.withColumn("own_group", own_group)
         .withColumn("copy_rank", F.row_number().over(newest_valid_first))
         .filter("copy_rank = 1")
-        .drop("copy_rank", "own_group", "row_fingerprint")
+        .drop("copy_rank", "own_group")
     )
 
 
+def first_per_event(classified: DataFrame) -> DataFrame:
+    return ranked(classified).drop("row_fingerprint")
+
+
 def survivors(bronze: DataFrame) -> DataFrame:
     return first_per_event(classify(parse(bronze)))
 

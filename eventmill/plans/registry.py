@@ -9,17 +9,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.device import browser_name, device_type, os_name
 from ..functions.text import has_text, is_blank
 from ..operators import census, funnel, health, ingest, promotion, serve, silver
-from ..session import prepare, scratch_path
+from ..session import checkpointed, prepare, scratch_path
+from ..schemas import MESSAGE
 from ..sources import derived, files
 from ..streaming.consume import Folders, consume
+from ..streaming.deliver import deliver_new_files
 from ..streaming.export import export_new_files
-from .refresh import Tables, refresh
+from ..streaming.sinks import MAX_FILES_PER_BATCH
+from .refresh import Tables, drop_lake, refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,11 +58,7 @@ def _valid(events: DataFrame) -> DataFrame:
 
 
 def _rollup(events: DataFrame) -> DataFrame:
-    """Promotion counts, persisted because the report reads them three times.
-
-    One row per day and promotion key: what is kept has the size of a mart, not of the events.
-    """
-    return promotion.promotion_rollup(_valid(events)).persist(StorageLevel.MEMORY_AND_DISK)
+    return promotion.promotion_rollup(_valid(events))
 
 
 def _health_mart(events: DataFrame) -> DataFrame:
@@ -73,7 +71,7 @@ def _promotion_mart(events: DataFrame) -> DataFrame:
 
 
 def _funnel_mart(events: DataFrame) -> DataFrame:
-    return funnel.campaign_funnel(_valid(events))
+    return funnel.funnel_of(checkpointed(funnel.campaign_events(_valid(events))))
 
 
 # Bronze
@@ -162,7 +160,7 @@ def raw_file_bronze(events: DataFrame) -> DataFrame:
 @_query
 def file_manifest_pending(events: DataFrame) -> DataFrame:
     """Raw files not yet exported; some were recorded under keys without a root."""
-    found = files.with_key_parts(derived.raw_lines(events).select("file_key").distinct())
+    found = files.placed(files.with_key_parts(derived.raw_file_keys(events).select("file_key").distinct()))
     key, day = F.col("file_key"), F.col("day")
     recorded = F.when(day <= "2024-01-05", F.replace(key, F.lit("raw_events/"), F.lit(""))).otherwise(key)
     processed = found.filter(day <= "2024-01-10").select(recorded.alias("file_key"))
@@ -172,7 +170,7 @@ def file_manifest_pending(events: DataFrame) -> DataFrame:
 @_query
 def delivery_pending(events: DataFrame) -> DataFrame:
     """Bronze batch files not yet delivered."""
-    raw = files.with_key_parts(derived.raw_lines(events).select("file_key").distinct())
+    raw = files.placed(files.with_key_parts(derived.raw_file_keys(events).select("file_key").distinct()))
     direct = F.col("root") == "raw_events"
     found = raw.select(
         "day",
@@ -205,23 +203,58 @@ def file_stream_bronze(events: DataFrame) -> DataFrame:
     )
 
 
+@_query
+def raw_file_listing(events: DataFrame) -> DataFrame:
+    """Raw files written, then listed: the roots and days that hold any; a misplaced file would fail."""
+    spark = events.sparkSession
+    base = scratch_path(spark, "listing")
+    lines = files.with_key_parts(derived.raw_lines(events)).select("line", F.col("day").alias("date"), "root")
+    for root in files.ROOT_TAGS:
+        lines.filter(F.col("root") == root).drop("root").write.partitionBy("date").text(f"{base}/{root}")
+    found = files.placed(files.list_raw_files(spark, [f"{base}/{root}" for root in (*files.ROOT_TAGS, "absent")]))
+    return found.filter("file_key is not null").select("root", "day").distinct()
+
+
+@_query
+def delivery_run_bronze(events: DataFrame) -> DataFrame:
+    """Finished batch files of both sources delivered into the two drops, and read from there."""
+    spark = events.sparkSession
+    base = scratch_path(spark, "delivery")
+    rows = derived.bronze_rows(events)
+    direct = F.col("ingestion_source") == "direct_raw"
+    rows.filter(direct).write.json(f"{base}/direct")
+    rows.filter(~direct).withColumn("date", F.substring("exported_at", 1, 10)).write.partitionBy("date").json(f"{base}/kafka")
+    for source in ("direct", "kafka"):
+        deliver_new_files(
+            spark, source, f"{base}/{source}", f"{base}/drop/{source}", f"{base}/progress/{source}").awaitTermination()
+    return census.by_source(files.read_bronze(spark, f"{base}/drop/direct", f"{base}/drop/kafka"))
+
+
+@_query
+def serve_stored_health(events: DataFrame) -> DataFrame:
+    """One workspace's list from the stored mart of a refreshed lake; only its newest days are read."""
+    spark = events.sparkSession
+    root = scratch_path(spark, "lake")
+    tables = refresh(spark, Tables(prefix=f"lake_{root[-8:]}_", root=root), bronze_rows=derived.bronze_rows(events))
+    recent = spark.table(tables.health).filter("event_date >= DATE'2024-01-20'")
+    listed = checkpointed(serve.health_rows(recent, SERVED_KEY))
+    drop_lake(spark, tables)
+    return listed
+
+
 @_query
 def topic_stream_bronze(events: DataFrame) -> DataFrame:
     """Messages consumed as a stream into all three sinks, counted per sink and day or reason."""
     spark = events.sparkSession
     base = scratch_path(spark, "consume")
     derived.messages(events).write.parquet(f"{base}/topic")
-    stream = spark.readStream.schema(spark.read.parquet(f"{base}/topic").schema).parquet(f"{base}/topic")
+    stream = spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", MAX_FILES_PER_BATCH).parquet(f"{base}/topic")
     folders = Folders(f"{base}/dead", raw=f"{base}/raw", bronze=f"{base}/bronze")
-    consume(stream, folders, f"{base}/progress", available_now=True).awaitTermination()
+    consume(stream, folders, f"{base}/progress", available_now=True, loaded_at=_load_time()).awaitTermination()
     raw = spark.read.text(f"{base}/raw").select(F.lit("raw").alias("sink"), F.col("date").cast("string").alias("key"))
-    bronze = spark.read.json(f"{base}/bronze").select(F.lit("bronze"), F.col("date").cast("string"))
-    dead = spark.read.json(f"{base}/dead").select(F.lit("dead_letters"), F.col("reason"))
-    rows = raw.union(bronze).union(dead)
-    # A message without a usable receipt day is filed under the day the stream ran.
-    ran_on = (F.col("sink") != "dead_letters") & (F.col("key") >= "2024-12-31")
-    key = F.when(ran_on, "today").otherwise(F.col("key")).alias("key")
-    return rows.groupBy("sink", key).agg(F.count("*").alias("cnt"))
+    bronze = spark.read.schema("date string, event_id string").json(f"{base}/bronze").select(F.lit("bronze"), "date")
+    dead = spark.read.schema("reason string").json(f"{base}/dead").select(F.lit("dead_letters"), "reason")
+    return raw.union(bronze).union(dead).groupBy("sink", "key").agg(F.count("*").alias("cnt"))
 
 
 # Silver
@@ -255,10 +288,10 @@ def silver_invalid(events: DataFrame) -> DataFrame:
 @_query
 def silver_one_pass_equiv(events: DataFrame) -> DataFrame:
     """Survivors of the single pass against those of one ranking per table, row by row."""
-    # Read four times: persisted, and only what the rankings and the comparison need of it.
-    classified = silver.classify(silver.parse(derived.bronze_rows(events))).select(
+    # Read four times: stored, and only what the rankings and the comparison need of it.
+    classified = checkpointed(silver.classify(silver.parse(derived.bronze_rows(events))).select(
         "event_id", "error_code", "loaded_at", "event_time", "source_file", "row_fingerprint"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    ))
     newest = [F.col(name).desc_nulls_last() for name in ("loaded_at", "event_time", "source_file", "row_fingerprint")]
     by_event = Window.partitionBy("event_id")
 
@@ -351,6 +384,13 @@ def promotion_performance_by_name(events: DataFrame) -> DataFrame:
     return promotion.promotion_performance(_rollup(events), match_names=True).drop("last_updated_at")
 
 
+@_query
+def promotion_performance_by_ids(events: DataFrame) -> DataFrame:
+    """The report with m x m rows for m name variants; the roll-up, of a mart's size, is stored first."""
+    stored = checkpointed(_rollup(events))
+    return promotion.promotion_performance(stored, match_names=False).drop("last_updated_at")
+
+
 @_query
 def campaign_name_map(events: DataFrame) -> DataFrame:
     return funnel.campaign_names(funnel.campaign_events(_valid(events)))
@@ -358,7 +398,7 @@ def campaign_name_map(events: DataFrame) -> DataFrame:
 
 @_query
 def session_flags(events: DataFrame) -> DataFrame:
-    return funnel.session_flags(funnel.campaign_events(_valid(events))).drop("campaign_name")
+    return funnel.session_flags(funnel.campaign_events(_valid(events)))
 
 
 @_query
@@ -371,7 +411,7 @@ def campaign_funnel(events: DataFrame) -> DataFrame:
 
 @_query
 def serve_health(events: DataFrame) -> DataFrame:
-    return serve.health_rows(_health_mart(events))
+    return serve.health_rows(_health_mart(events), limit=serve.PAGE)
 
 
 @_query
@@ -381,7 +421,7 @@ def serve_health_by_key(events: DataFrame) -> DataFrame:
 
 @_query
 def serve_promotion(events: DataFrame) -> DataFrame:
-    return serve.promotion_rows(_promotion_mart(events))
+    return serve.promotion_rows(_promotion_mart(events), limit=serve.PAGE)
 
 
 @_query
@@ -391,7 +431,7 @@ def serve_promotion_by_key(events: DataFrame) -> DataFrame:
 
 @_query
 def serve_funnel(events: DataFrame) -> DataFrame:
-    return serve.funnel_rows(_funnel_mart(events))
+    return serve.funnel_rows(_funnel_mart(events), limit=serve.PAGE)
 
 
 @_query
@@ -468,19 +508,17 @@ def contract_violations(events: DataFrame) -> DataFrame:
 
 @_query
 def verify_health_order(events: DataFrame) -> DataFrame:
-    return _health_mart(events).drop("last_updated_at").orderBy(F.desc("event_date"), F.desc("raw_event_count"))
+    return serve.by_day_and(_health_mart(events).drop("last_updated_at"), "raw_event_count")
 
 
 @_query
 def verify_promotion_order(events: DataFrame) -> DataFrame:
-    return _promotion_mart(events).drop("last_updated_at").orderBy(F.desc("event_date"), F.desc("promotion_views"))
+    return serve.by_day_and(_promotion_mart(events).drop("last_updated_at"), "promotion_views")
 
 
 @_query
 def verify_funnel_order(events: DataFrame) -> DataFrame:
-    return _funnel_mart(events).drop("last_updated_at").orderBy(
-        F.desc("event_date"), F.desc("promotion_view_sessions")
-    )
+    return serve.by_day_and(_funnel_mart(events).drop("last_updated_at"), "promotion_view_sessions")
 
 
 @_query
@@ -500,8 +538,6 @@ def refresh_roundtrip(events: DataFrame) -> DataFrame:
     tables = Tables(prefix=f"lake_{root[-8:]}_", root=root)
     refresh(spark, tables, bronze_rows=derived.bronze_rows(events))
     names = ("bronze", "valid", "invalid", "health", "promotion", "funnel")
-    counts = (
-        spark.table(getattr(tables, name)).agg(F.lit(name).alias("table_name"), F.count("*").alias("cnt"))
-        for name in names
-    )
-    return reduce(DataFrame.union, counts)
+    counts = [(name, spark.table(getattr(tables, name)).count()) for name in names]
+    drop_lake(spark, tables)
+    return spark.createDataFrame(counts, "table_name string, cnt bigint")

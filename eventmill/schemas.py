@@ -1,136 +1,254 @@
-"""Table layouts, as plain text turned into Spark types."""
+"""Table layouts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, types as T
 
-_TYPES = {
-    "string": T.StringType(),
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "price": T.DecimalType(18, 2),
-    "ratio": T.DecimalType(10, 4),
-}
+STRING, INT, BIGINT, DATE, TIMESTAMP = T.StringType(), T.IntegerType(), T.LongType(), T.DateType(), T.TimestampType()
+PRICE = T.DecimalType(18, 2)
+# Twenty digits: a click and millions of views give more than ten would hold.
+RATIO = T.DecimalType(20, 4)
 
 
-def _table(text: str) -> T.StructType:
-    """One `type: column column ...` line per run of equally typed columns."""
-    fields = []
-    for line in text.strip().splitlines():
-        kind, names = line.split(":")
-        fields += [T.StructField(name, _TYPES[kind.strip()]) for name in names.split()]
-    return T.StructType(fields)
+def _table(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields])
 
 
 # Column names, order and types of the stored tables.
-BRONZE = _table("""
-    string: received_at sdk_key event_id event_type event_time session_id page_url
-    string: raw_event_json exported_at export_batch_id source_file ingestion_source loaded_at
-""")
-
-SILVER_VALID = _table("""
-    timestamp: received_at
-    date: event_date
-    string: sdk_key event_id event_type
-    timestamp: event_time
-    string: session_id anonymous_id user_id page_url referrer_url page_title page_type
-    string: device_type os_name browser_name
-    int: viewport_width viewport_height
-    string: country language
-    string: promotion_id promotion_name campaign_id campaign_name placement
-    string: creative_id creative_type
-    int: position_index
-    string: click_target_url
-    int: click_x click_y
-    string: product_id product_name category_id category_name
-    int: quantity
-    price: unit_price
-    string: currency source_promotion_id source_campaign_id
-    string: raw_event_json export_batch_id ingestion_source source_file
-    timestamp: loaded_at validated_at
-""")
-
-SILVER_INVALID = _table("""
-    timestamp: received_at
-    string: sdk_key event_id event_type event_time session_id page_url raw_event_json
-    string: error_code error_message validation_stage ingestion_source source_file
-    timestamp: loaded_at detected_at
-""")
-
-WORKSPACE_HEALTH = _table("""
-    date: event_date
-    string: sdk_key
-    bigint: raw_event_count valid_event_count invalid_event_count
-    ratio: invalid_event_ratio
-    bigint: distinct_sessions
-    timestamp: latest_event_time latest_loaded_at
-    int: freshness_minutes
-    timestamp: last_updated_at
-""")
-
-PROMOTION_PERFORMANCE = _table("""
-    date: event_date
-    string: sdk_key campaign_id campaign_name promotion_id promotion_name placement device_type
-    bigint: promotion_views promotion_clicks
-    ratio: ctr
-    bigint: unique_view_sessions unique_click_sessions
-    bigint: product_views_after_click add_to_cart_after_click
-    ratio: product_view_rate_after_click add_to_cart_rate_after_click
-    timestamp: last_updated_at
-""")
-
-CAMPAIGN_FUNNEL = _table("""
-    date: event_date
-    string: sdk_key campaign_id campaign_name
-    bigint: promotion_view_sessions promotion_click_sessions
-    bigint: product_view_sessions add_to_cart_sessions
-    ratio: view_to_click_rate click_to_product_view_rate click_to_add_to_cart_rate
-    timestamp: last_updated_at
-""")
+BRONZE = _table(
+    ("received_at", STRING),
+    ("sdk_key", STRING),
+    ("event_id", STRING),
+    ("event_type", STRING),
+    ("event_time", STRING),
+    ("session_id", STRING),
+    ("page_url", STRING),
+    ("raw_event_json", STRING),
+    ("exported_at", STRING),
+    ("export_batch_id", STRING),
+    ("source_file", STRING),
+    ("ingestion_source", STRING),
+    ("loaded_at", STRING),
+)
+
+SILVER_VALID = _table(
+    ("received_at", TIMESTAMP),
+    ("event_date", DATE),
+    ("sdk_key", STRING),
+    ("event_id", STRING),
+    ("event_type", STRING),
+    ("event_time", TIMESTAMP),
+    ("session_id", STRING),
+    ("anonymous_id", STRING),
+    ("user_id", STRING),
+    ("page_url", STRING),
+    ("referrer_url", STRING),
+    ("page_title", STRING),
+    ("page_type", STRING),
+    ("device_type", STRING),
+    ("os_name", STRING),
+    ("browser_name", STRING),
+    ("viewport_width", INT),
+    ("viewport_height", INT),
+    ("country", STRING),
+    ("language", STRING),
+    ("promotion_id", STRING),
+    ("promotion_name", STRING),
+    ("campaign_id", STRING),
+    ("campaign_name", STRING),
+    ("placement", STRING),
+    ("creative_id", STRING),
+    ("creative_type", STRING),
+    ("position_index", INT),
+    ("click_target_url", STRING),
+    ("click_x", INT),
+    ("click_y", INT),
+    ("product_id", STRING),
+    ("product_name", STRING),
+    ("category_id", STRING),
+    ("category_name", STRING),
+    ("quantity", INT),
+    ("unit_price", PRICE),
+    ("currency", STRING),
+    ("source_promotion_id", STRING),
+    ("source_campaign_id", STRING),
+    ("raw_event_json", STRING),
+    ("export_batch_id", STRING),
+    ("ingestion_source", STRING),
+    ("source_file", STRING),
+    ("loaded_at", TIMESTAMP),
+    ("validated_at", TIMESTAMP),
+)
+
+SILVER_INVALID = _table(
+    ("received_at", TIMESTAMP),
+    ("sdk_key", STRING),
+    ("event_id", STRING),
+    ("event_type", STRING),
+    ("event_time", STRING),
+    ("session_id", STRING),
+    ("page_url", STRING),
+    ("raw_event_json", STRING),
+    ("error_code", STRING),
+    ("error_message", STRING),
+    ("validation_stage", STRING),
+    ("ingestion_source", STRING),
+    ("source_file", STRING),
+    ("loaded_at", TIMESTAMP),
+    ("detected_at", TIMESTAMP),
+)
+
+WORKSPACE_HEALTH = _table(
+    ("event_date", DATE),
+    ("sdk_key", STRING),
+    ("raw_event_count", BIGINT),
+    ("valid_event_count", BIGINT),
+    ("invalid_event_count", BIGINT),
+    ("invalid_event_ratio", RATIO),
+    ("distinct_sessions", BIGINT),
+    ("latest_event_time", TIMESTAMP),
+    ("latest_loaded_at", TIMESTAMP),
+    ("freshness_minutes", INT),
+    ("last_updated_at", TIMESTAMP),
+)
+
+PROMOTION_PERFORMANCE = _table(
+    ("event_date", DATE),
+    ("sdk_key", STRING),
+    ("campaign_id", STRING),
+    ("campaign_name", STRING),
+    ("promotion_id", STRING),
+    ("promotion_name", STRING),
+    ("placement", STRING),
+    ("device_type", STRING),
+    ("promotion_views", BIGINT),
+    ("promotion_clicks", BIGINT),
+    ("ctr", RATIO),
+    ("unique_view_sessions", BIGINT),
+    ("unique_click_sessions", BIGINT),
+    ("product_views_after_click", BIGINT),
+    ("add_to_cart_after_click", BIGINT),
+    ("product_view_rate_after_click", RATIO),
+    ("add_to_cart_rate_after_click", RATIO),
+    ("last_updated_at", TIMESTAMP),
+)
+
+CAMPAIGN_FUNNEL = _table(
+    ("event_date", DATE),
+    ("sdk_key", STRING),
+    ("campaign_id", STRING),
+    ("campaign_name", STRING),
+    ("promotion_view_sessions", BIGINT),
+    ("promotion_click_sessions", BIGINT),
+    ("product_view_sessions", BIGINT),
+    ("add_to_cart_sessions", BIGINT),
+    ("view_to_click_rate", RATIO),
+    ("click_to_product_view_rate", RATIO),
+    ("click_to_add_to_cart_rate", RATIO),
+    ("last_updated_at", TIMESTAMP),
+)
 
 # Columns handed out by the serving queries, and which of them may be NULL.
-HEALTH_SERVED = (
-    "event_date sdk_key raw_event_count valid_event_count invalid_event_count "
-    "invalid_event_ratio distinct_sessions latest_event_time freshness_minutes"
-).split()
-PROMOTION_SERVED = (
-    "event_date sdk_key campaign_id campaign_name promotion_id promotion_name placement "
-    "promotion_views promotion_clicks ctr product_views_after_click add_to_cart_after_click "
-    "product_view_rate_after_click add_to_cart_rate_after_click"
-).split()
-FUNNEL_SERVED = (
-    "event_date sdk_key campaign_id campaign_name promotion_view_sessions "
-    "promotion_click_sessions product_view_sessions add_to_cart_sessions "
-    "view_to_click_rate click_to_product_view_rate click_to_add_to_cart_rate"
-).split()
+HEALTH_SERVED = [
+    "event_date",
+    "sdk_key",
+    "raw_event_count",
+    "valid_event_count",
+    "invalid_event_count",
+    "invalid_event_ratio",
+    "distinct_sessions",
+    "latest_event_time",
+    "freshness_minutes",
+]
+PROMOTION_SERVED = [
+    "event_date",
+    "sdk_key",
+    "campaign_id",
+    "campaign_name",
+    "promotion_id",
+    "promotion_name",
+    "placement",
+    "promotion_views",
+    "promotion_clicks",
+    "ctr",
+    "product_views_after_click",
+    "add_to_cart_after_click",
+    "product_view_rate_after_click",
+    "add_to_cart_rate_after_click",
+]
+FUNNEL_SERVED = [
+    "event_date",
+    "sdk_key",
+    "campaign_id",
+    "campaign_name",
+    "promotion_view_sessions",
+    "promotion_click_sessions",
+    "product_view_sessions",
+    "add_to_cart_sessions",
+    "view_to_click_rate",
+    "click_to_product_view_rate",
+    "click_to_add_to_cart_rate",
+]
 HEALTH_NULLABLE = {"freshness_minutes"}
 PROMOTION_NULLABLE = {"campaign_name", "promotion_name", "placement"}
 FUNNEL_NULLABLE = {"campaign_name"}
 
 # The payload fields Silver reads. Every one is taken as text first.
-PAYLOAD_FIELDS = (
-    "sdk_key event_id event_type event_time session_id page_url "
-    "anonymous_id user_id referrer_url page_title page_type device_type os_name browser_name "
-    "viewport_width viewport_height country language "
-    "promotion_id promotion_name campaign_id campaign_name placement creative_id creative_type "
-    "position_index click_target_url click_x click_y "
-    "product_id product_name category_id category_name quantity unit_price currency "
-    "source_promotion_id source_campaign_id"
-).split()
-PAYLOAD = T.StructType([T.StructField(name, T.StringType()) for name in PAYLOAD_FIELDS])
+PAYLOAD = _table(
+    ("sdk_key", STRING),
+    ("event_id", STRING),
+    ("event_type", STRING),
+    ("event_time", STRING),
+    ("session_id", STRING),
+    ("page_url", STRING),
+    ("anonymous_id", STRING),
+    ("user_id", STRING),
+    ("referrer_url", STRING),
+    ("page_title", STRING),
+    ("page_type", STRING),
+    ("device_type", STRING),
+    ("os_name", STRING),
+    ("browser_name", STRING),
+    ("viewport_width", STRING),
+    ("viewport_height", STRING),
+    ("country", STRING),
+    ("language", STRING),
+    ("promotion_id", STRING),
+    ("promotion_name", STRING),
+    ("campaign_id", STRING),
+    ("campaign_name", STRING),
+    ("placement", STRING),
+    ("creative_id", STRING),
+    ("creative_type", STRING),
+    ("position_index", STRING),
+    ("click_target_url", STRING),
+    ("click_x", STRING),
+    ("click_y", STRING),
+    ("product_id", STRING),
+    ("product_name", STRING),
+    ("category_id", STRING),
+    ("category_name", STRING),
+    ("quantity", STRING),
+    ("unit_price", STRING),
+    ("currency", STRING),
+    ("source_promotion_id", STRING),
+    ("source_campaign_id", STRING),
+)
 
 # A raw JSONL line; the event object is kept as its JSON text.
-RAW_LINE = _table("string: received_at sdk_key event")
+RAW_LINE = _table(
+    ("received_at", STRING),
+    ("sdk_key", STRING),
+    ("event", STRING),
+)
 
 # A message taken from the event topic.
-MESSAGE = T.StructType([
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("value", T.StringType()),
-])
+MESSAGE = _table(
+    ("topic", STRING),
+    ("partition", INT),
+    ("offset", BIGINT),
+    ("value", STRING),
+)
 
 
 def conform(df: DataFrame, table: T.StructType) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 SEMANTICS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Overwriting some days of a table leaves its other days alone.
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # The Silver projection is wide. Beyond this size the JVM would interpret the method generated
@@ -30,38 +32,17 @@ CLUSTER = {
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
-_PARTITION_BYTES = 512 << 20
-_SHUFFLE_GROWTH = 3  # shuffled rows against the same rows stored as compressed Parquet
-_MOST_PARTITIONS = 100_000
+def build_session(app: str, master: str | None = None, partitions: int | None = None, **conf: str) -> SparkSession:
+    """`partitions`: what shuffles start from before adaptive execution merges the small ones.
 
-
-def shuffle_partitions(stored_bytes: int) -> int:
-    """Shuffle partitions for a pass over `stored_bytes` of a table.
-
-    Half a gigabyte per partition sorts within executor memory. Beyond 50 TB or so partitions
-    grow instead of becoming more (sorting spills, but shuffle blocks stay manageable).
-    """
-    return min(_MOST_PARTITIONS, -(-stored_bytes * _SHUFFLE_GROWTH // _PARTITION_BYTES))
-
-
-def size_shuffles(df: DataFrame) -> None:
-    """Raise the session's shuffle partitions to suit a pass over `df`; never lower them.
-
-    Adaptive execution merges partitions that turn out small, so a high count costs little,
-    while the default count would make a large table's partitions too big to sort.
+    Half a gigabyte each sorts within executor memory; shuffled rows take about three times their bytes
+    as Parquet. A table of 100 TB thus wants some 600 000, one of 1 TB 6000.
     """
-    spark = df.sparkSession
-    stored = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = shuffle_partitions(stored)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-
-
-def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SEMANTICS, **CODEGEN, **CLUSTER, **conf}.items():
+    start = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)} if partitions else {}
+    for key, value in {**SEMANTICS, **CODEGEN, **CLUSTER, **start, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -91,3 +72,11 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Rows that later steps read more than once, written to the shared folder by Spark's checkpoint."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import BRONZE, conform
-from ..session import size_shuffles
 from .topic import envelope_text
 
 TOPIC = "events.raw"
@@ -34,7 +33,7 @@ _CLICK, _CART = "t = 'promotion_click'", "t = 'add_to_cart'"
 
 # Fields Bronze carries as columns of their own.
 _LIFTED = {
-    "received_at": "iso",
+    "received_at": "IF(n % 131 = 0, 'unknown', iso)",
     "sdk_key": "CASE WHEN n % 97 = 0 THEN NULL WHEN n % 89 = 0 THEN '  ' ELSE 'shop_' || (u % 5) END",
     "event_id": "IF(n % 83 <> 0, 'evt_' || IF(n % 50 IN (1, 3), n - 1, n), NULL)",
     "event_type": "CASE WHEN n % 79 = 0 THEN 'checkout' WHEN n % 73 = 0 THEN ''"
@@ -93,25 +92,13 @@ _USER_AGENTS = (
     "",
 )
 
-_WHOLE = 1_000_000  # longer than any record
-
 # One request of this many events, then ordinary ones, out of every block of events.
 _BLOCK, _BIG_REQUEST, _REQUEST = 1200, 600, 20
 _REQUESTS_PER_BLOCK = 1 + (_BLOCK - _BIG_REQUEST) // _REQUEST
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The events table. A small one, that would keep most cores idle, is spread over them.
-
-    A table of more scan tasks than cores, which is any large one, is left as it is. Spread rows
-    are sorted by their unique number: a task that is run again must see them in the same order.
-    """
-    events = spark.read.parquet(f"{folder}/events.parquet")
-    size_shuffles(events)
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() >= cores:
-        return events
-    return events.repartition(cores, "event_id").sortWithinPartitions("event_id")
+    return spark.read.parquet(f"{folder}/events.parquet")
 
 
 def _struct(fields: dict[str, str]) -> str:
@@ -179,27 +166,26 @@ def messages(events: DataFrame) -> DataFrame:
     )
 
 
-def raw_lines(events: DataFrame) -> DataFrame:
-    """Raw file lines and the key of the file each stands in, some lines broken or blank.
+_FILE_KEY = (
+    "IF(n % 5 < 3, 'raw_events', 'raw_events_kafka') || '/date=' || substring(iso, 1, 10)"
+    " || '/events-' || format_string('%04d', n DIV 1000) || '.jsonl' AS file_key"
+)
+
 
-    A broken line is a record cut short with text put around it; the record is named only once.
-    """
+def raw_file_keys(events: DataFrame) -> DataFrame:
+    """The key of the raw file that each event's line stands in, as a listing would name it."""
+    return events.selectExpr(*_NUMBERED).selectExpr("n", _FILE_KEY)
+
+
+def raw_lines(events: DataFrame) -> DataFrame:
+    """Raw file lines and the key of the file each stands in, some lines broken or blank."""
     record = "to_json(named_struct('received_at', iso, 'sdk_key', 'shop_' || (u % 5), 'event', event))"
-    kept = (
-        f"CASE WHEN n % 101 = 0 THEN 40 WHEN n % 103 = 0 THEN {_WHOLE}"
-        f" WHEN n % 107 = 0 OR n % 109 = 0 OR n % 113 = 0 THEN 0 ELSE {_WHOLE} END"
-    )
-    after = """CASE WHEN n % 101 = 0 THEN '' WHEN n % 103 = 0 THEN ']'
+    line = """CASE WHEN n % 101 = 0 THEN substring(record, 1, 40) WHEN n % 103 = 0 THEN '[' || record || ']'
         WHEN n % 107 = 0 THEN '{"received_at":"2024-01-01T00:00:00Z","sdk_key":"shop_0"}'
-        WHEN n % 109 = 0 THEN '{"sdk_key":"shop_0","event":"{}"}' WHEN n % 113 = 0 THEN '  ' ELSE '' END"""
-    before = "IF(n % 101 <> 0 AND n % 103 = 0, '[', '')"
-    return event_objects(events).selectExpr(
-        "n",
-        # One-element explode: keeps a later filter on the line from repeating all of the above.
-        f"explode(array({before} || substring({record}, 1, {kept}) || {after})) AS line",
-        "IF(n % 5 < 3, 'raw_events', 'raw_events_kafka') || '/date=' || substring(iso, 1, 10)"
-        " || '/events-' || lpad(CAST(n DIV 1000 AS STRING), 4, '0') || '.jsonl' AS file_key",
-    )
+        WHEN n % 109 = 0 THEN '{"sdk_key":"shop_0","event":"{}"}' WHEN n % 113 = 0 THEN '  ' ELSE record END AS line"""
+    # One-element explode: keeps the uses of a record, and a later filter on the line, from repeating all of it.
+    records = event_objects(events).selectExpr("n", "iso", f"explode(array({record})) AS record")
+    return records.selectExpr("n", line, _FILE_KEY)
 
 
 def user_agents(events: DataFrame) -> DataFrame:

@@ -6,6 +6,10 @@ how a record came in. A file is known by its key, `<root name>/date=.../events-N
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import BRONZE
@@ -20,12 +24,17 @@ DELIVERY_PREFIXES = {"direct": "out/bronze_batches", "kafka": "data/bronze_batch
 RAW_GLOB = "{events-*.jsonl,part-*}"
 DIRECT_GLOB = "{*.jsonl,part-*}"
 STREAM_GLOB = "{bronze_events-*.jsonl,part-*}"
-RAW_KEY = r"([^/]+)/date=(\d{4}-\d{2}-\d{2})/(?:batch=\d+/)?(?:events|part)-(\d+)[^/]*$"
+RAW_KEY = r"([^/]+)/date=(\d{4}-\d{2}-\d{2})/(?:batch=[^/]+/)?(?:events|part)-(\d+)[^/]*$"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(jvm_path)
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What `read` gives, or nothing if there is no such path."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def lineage_tag(root: Column) -> Column:
@@ -35,7 +44,7 @@ def lineage_tag(root: Column) -> Column:
 
 def file_key(path: Column) -> Column:
     """The end of a file path: root, date folder, batch folder if any, file name."""
-    return F.regexp_extract(path, r"([^/]+/[^/]+(?:/batch=\d+)?/[^/]+)$", 1)
+    return F.regexp_extract(path, r"([^/]+/[^/]+(?:/batch=[^/]+)?/[^/]+)$", 1)
 
 
 def with_key_parts(files: DataFrame) -> DataFrame:
@@ -52,16 +61,10 @@ def with_key_parts(files: DataFrame) -> DataFrame:
 
 def list_raw_files(spark: SparkSession, roots: list[str]) -> DataFrame:
     """One row per raw file of the existing roots, by listing alone (no content is read)."""
-    present = [root for root in roots if exists(spark, root)]
-    if not present:
-        return with_key_parts(spark.createDataFrame([], "file_key string"))
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", RAW_GLOB)
-        .load(present)
-    )
-    return with_key_parts(listing.select(file_key(F.col("path")).alias("file_key")))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", RAW_GLOB)
+    listings = [if_present(lambda root=root: reader.load(root)) for root in roots]
+    keys = [listing.select(file_key(F.col("path")).alias("file_key")) for listing in listings if listing is not None]
+    return with_key_parts(reduce(DataFrame.unionByName, keys, spark.createDataFrame([], "file_key string")))
 
 
 def misplaced(files: DataFrame) -> DataFrame:
@@ -69,6 +72,13 @@ def misplaced(files: DataFrame) -> DataFrame:
     return files.filter("day is null or seq is null")
 
 
+def placed(files: DataFrame) -> DataFrame:
+    """The files, or a failure that names the first one found to be misplaced."""
+    wrong = F.col("day").isNull() | F.col("seq").isNull()
+    complaint = F.concat(F.lit("misplaced raw file: "), "file_key")
+    return files.withColumn("file_key", F.when(wrong, F.raise_error(complaint)).otherwise(F.col("file_key")))
+
+
 def current_key(key: Column) -> Column:
     """Keys written before there were two roots name no root; they belong to the first one."""
     return F.when(key.startswith("date="), F.concat(F.lit(LEGACY_ROOT + "/"), key)).otherwise(key)
@@ -90,44 +100,39 @@ def pending_deliveries(found: DataFrame, delivered: DataFrame) -> DataFrame:
         *(F.when(F.col("source") == name, F.lit(value)) for name, value in DELIVERY_PREFIXES.items()),
         "source",
     )
-    bare_name = F.when(F.col("source") == "direct", F.regexp_extract("path", r"([^/]+)$", 1))
+    bare_name = F.regexp_extract("path", r"([^/]+)$", 1)
     keyed = found.withColumn("delivery_key", F.concat_ws("/", prefix, "path"))
-    return keyed.join(delivered, F.col("delivery_key") == F.col("file_key"), "left_anti").join(
-        delivered, bare_name == F.col("file_key"), "left_anti"
-    )
+    left = keyed.join(delivered, F.col("delivery_key") == F.col("file_key"), "left_anti")
+    direct = F.col("source") == "direct"
+    named = left.filter(direct).join(delivered, bare_name == F.col("file_key"), "left_anti")
+    return named.unionByName(left.filter(~F.coalesce(direct, F.lit(False))))
 
 
-def read_raw_lines(spark: SparkSession, base: str, streaming: bool = False) -> DataFrame:
-    """Lines of the raw files below `base` as (line, file_key), batch or stream.
+def read_raw_lines(spark: SparkSession, base: str, max_files: int | None = None) -> DataFrame:
+    """Lines of the raw files below `base` as (line, file_key); a stream if `max_files` a batch are given.
 
     Blank lines are left out. A stream takes each file once, however often it is started.
     """
-    if not streaming and not any(exists(spark, f"{base}/{root}") for root in ROOT_TAGS):
-        return spark.createDataFrame([], "line string, file_key string")
-    reader = spark.readStream if streaming else spark.read
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files) if max_files else spark.read
     roots = "{" + ",".join(ROOT_TAGS) + "}"
-    lines = (
-        reader.format("text")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", RAW_GLOB)
-        .load(f"{base}/{roots}")
-    )
+    reader = reader.format("text").option("recursiveFileLookup", True).option("pathGlobFilter", RAW_GLOB)
+    lines = if_present(lambda: reader.load(f"{base}/{roots}"))
+    if lines is None:
+        return spark.createDataFrame([], "line string, file_key string")
     return lines.select(
         F.col("value").alias("line"), file_key(F.col("_metadata.file_path")).alias("file_key")
     ).filter(F.btrim("line", F.lit(" \t\r\n")) != "")
 
 
 def _read_drop(spark: SparkSession, folder: str, pattern: str, tag: str) -> DataFrame:
-    if not exists(spark, folder):
-        return spark.createDataFrame([], BRONZE)
-    rows = (
+    reader = (
         spark.read.schema(BRONZE)
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
         .option("ignoreMissingFiles", True)
-        .json(folder)
     )
-    return with_lineage(rows, tag)
+    rows = if_present(lambda: reader.json(folder))
+    return spark.createDataFrame([], BRONZE) if rows is None else with_lineage(rows, tag)
 
 
 def with_lineage(rows: DataFrame, default_tag: str) -> DataFrame:

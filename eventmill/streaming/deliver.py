@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.files import DIRECT_GLOB, STREAM_GLOB
-from .sinks import MAX_ROWS_PER_FILE, write_batch
+from .sinks import MAX_FILES_PER_BATCH, MAX_ROWS_PER_FILE, batch_name, write_batch
 
 PATTERNS = {"direct": DIRECT_GLOB, "kafka": STREAM_GLOB}
 
 
 def deliver_new_files(
     spark: SparkSession, source: str, folder: str, drop: str, checkpoint: str,
-    max_rows_per_file: int = MAX_ROWS_PER_FILE,
+    max_rows_per_file: int = MAX_ROWS_PER_FILE, max_files: int = MAX_FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Copy the lines of files not yet delivered from `folder` to `drop`, then stop.
 
@@ -28,6 +28,7 @@ def deliver_new_files(
         spark.readStream.format("text")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", PATTERNS[source])
+        .option("maxFilesPerTrigger", max_files)
         .load(folder)
     )
     day = F.regexp_extract(F.col("_metadata.file_path"), r"/date=(\d{4}-\d{2}-\d{2})/", 1)
@@ -36,7 +37,7 @@ def deliver_new_files(
     )
 
     def write(batch: DataFrame, number: int) -> None:
-        write_batch(batch, drop, number, "text", max_rows_per_file)
+        write_batch(batch, drop, batch_name(batch, number), "text", max_rows_per_file)
 
     return (
         filed.writeStream.foreachBatch(write)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ingest import bronze_from_records, read_records, strict
 from ..sources.files import read_raw_lines
-from .sinks import MAX_ROWS_PER_FILE, write_batch
+from .sinks import MAX_FILES_PER_BATCH, MAX_ROWS_PER_FILE, batch_name, write_batch
 
 
 def write_records(
@@ -24,7 +24,7 @@ def write_records(
     try:
         _write_bronze(batch.filter("problem is null"), batch_number, out, max_rows_per_file)
         bad = batch.filter("problem is not null").select("file_key", "problem", "line", day.alias("date"))
-        write_batch(bad, rejects, batch_number, "json", max_rows_per_file)
+        write_batch(bad, rejects, batch_name(records, batch_number), "json", max_rows_per_file)
     finally:
         batch.unpersist()
 
@@ -32,15 +32,18 @@ def write_records(
 def _write_bronze(records: DataFrame, batch_number: int, out: str, max_rows_per_file: int) -> None:
     rows = bronze_from_records(records, F.col("exported_moment"), batch_number)
     filed = rows.withColumn("date", F.to_date(F.substring("exported_at", 1, 10)))
-    write_batch(filed, out, batch_number, "json", max_rows_per_file)
+    write_batch(filed, out, batch_name(records, batch_number), "json", max_rows_per_file)
 
 
 def export_new_files(
     spark: SparkSession, base: str, out: str, checkpoint: str, rejects: str | None = None,
-    max_rows_per_file: int = MAX_ROWS_PER_FILE,
+    max_rows_per_file: int = MAX_ROWS_PER_FILE, max_files: int = MAX_FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """Export what the raw roots below `base` hold and earlier runs have not taken, then stop."""
-    records = read_records(read_raw_lines(spark, base, streaming=True)).withColumn(
+    """Export what the raw roots below `base` hold and earlier runs have not taken, then stop.
+
+    It goes by batches of `max_files` files.
+    """
+    records = read_records(read_raw_lines(spark, base, max_files=max_files)).withColumn(
         "exported_moment", F.current_timestamp()
     )
     return (

@@ -11,9 +11,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as contract  # noqa: E402
 from eventmill.operators import silver  # noqa: E402
-from eventmill.plans.refresh import Tables, refresh  # noqa: E402
+from eventmill.plans import oracle, registry  # noqa: E402
+from eventmill.plans.refresh import Tables, current_version, refresh, refresh_days  # noqa: E402
 from eventmill.schemas import SILVER_INVALID, SILVER_VALID, WORKSPACE_HEALTH  # noqa: E402
-from eventmill.session import scratch_path, shared_folder, shuffle_partitions, size_shuffles  # noqa: E402
+from eventmill.session import scratch_path, shared_folder  # noqa: E402
 
 TESTDATA = Path("/root/testdata/sf0.001")
 needs_data = pytest.mark.skipif(not TESTDATA.exists(), reason="driver tables are absent")
@@ -33,7 +34,7 @@ def plain(value):
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_equals_its_sql(spark, duck, name):
     found = contract.queries()[name](spark, str(TESTDATA))
     columns = sorted(found.columns)
@@ -50,8 +51,8 @@ def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
 
 
-def test_every_query_has_a_statement():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+def test_every_query_of_this_part_has_a_statement():
+    assert set(registry.queries()) == set(oracle.oracle_sql())
 
 
 def test_refresh_twice_gives_the_same_tables(spark, bronze):
@@ -98,18 +99,94 @@ def test_shared_folder_is_the_named_one(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
-def test_shuffle_partitions_grow_with_the_table():
-    assert shuffle_partitions(10 * 10**6) == 1
-    assert shuffle_partitions(10**12) == 5588
-    assert shuffle_partitions(100 * 10**12) == 100_000
-
-
-def test_shuffle_partitions_are_never_lowered(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    size_shuffles(spark.range(10))
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
-    try:
-        size_shuffles(spark.range(10**10))
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == shuffle_partitions(8 * 10**10)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_shuffles_start_from_what_the_caller_names():
+    from eventmill.session import build_session
+
+    session = build_session("tests", partitions=77)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert session.conf.get(key) == "77"
+    session.conf.unset(key)
+
+
+def _files(spark, table, day):
+    version = spark.table(current_version(spark, table))
+    found = version.select("_metadata.file_path", day).distinct().collect()
+    return {(str(r[1]), r[0]) for r in found}
+
+
+def test_refresh_by_days_touches_no_other_day(spark, bronze):
+    def at(day, **row):
+        return {"event_time": f"2026-04-{day:02d}T10:00:00Z", "event_id": f"e{day}", **row}
+
+    tables = Tables(prefix="days_", root=scratch_path(spark, "lake"))
+    first = [at(1), at(2), at(3), at(3, event_id="x", page_url=""), at(4, event_id="late", loaded_at="2026-04-04T00:00:00Z")]
+    refresh(spark, tables, bronze_rows=bronze(*first))
+    before = {t: _files(spark, t, d) for t, d in ((tables.survivors, "booked_day"), (tables.health, "event_date"))}
+    # A newer copy of e2 on its own day, one of "late" on another day, a valid copy of x, a new event.
+    more = [at(2, loaded_at="2026-05-02T00:00:00Z", session_id="s9"), at(5, event_id="late", loaded_at="2026-05-02T00:00:00Z"),
+            at(3, event_id="x"), at(6)]
+    days = refresh_days(spark, tables, bronze(*more))
+    assert {d.day for d in days} == {2, 3, 4, 5, 6}
+    after = {t: _files(spark, t, d) for t, d in ((tables.survivors, "booked_day"), (tables.health, "event_date"))}
+    for table in before:
+        assert {f for f in before[table] if f[0] == "2026-04-01"} == {f for f in after[table] if f[0] == "2026-04-01"}
+        assert not {f for f in before[table] if f[0] == "2026-04-02"} & after[table]
+    whole = Tables(prefix="whole_", root=scratch_path(spark, "lake"))
+    refresh(spark, whole, bronze_rows=bronze(*first, *more))
+    for one, other, stamp in ((tables.valid, whole.valid, "validated_at"), (tables.invalid, whole.invalid, "detected_at"),
+                              (tables.health, whole.health, "last_updated_at"), (tables.funnel, whole.funnel, "last_updated_at"),
+                              (tables.promotion, whole.promotion, "last_updated_at")):
+        rows = [sorted(map(str, spark.table(t).drop(stamp).collect())) for t in (one, other)]
+        assert rows[0] == rows[1], one
+    assert {r.event_date.day for r in spark.table(tables.valid).filter("event_id = 'late'").collect()} == {5}
+    refresh_days(spark, tables, bronze(*more))  # handed in again
+    assert spark.table(tables.valid).count() == spark.table(whole.valid).count()
+
+
+def test_a_day_that_loses_its_last_event_goes(spark, bronze):
+    tables = Tables(prefix="gone_", root=scratch_path(spark, "lake"))
+    row = {"event_time": "2026-04-01T10:00:00Z", "event_id": "e", "loaded_at": "2026-04-02T00:00:00Z"}
+    refresh(spark, tables, bronze_rows=bronze(row, {"event_time": "2026-04-09T10:00:00Z", "event_id": "f"}))
+    refresh_days(spark, tables, bronze({**row, "event_time": "2026-04-05T10:00:00Z", "loaded_at": "2026-04-06T00:00:00Z"}))
+    assert sorted(r.event_date.day for r in spark.table(tables.valid).collect()) == [5, 9]
+    assert sorted((r.event_date.day, r.raw_event_count, r.valid_event_count) for r in spark.table(tables.health).collect()) == [
+        (1, 1, 0), (5, 1, 1), (9, 1, 1)]
+
+
+def test_a_failed_refresh_leaves_the_old_table(spark, bronze):
+    from pyspark.sql import functions as F
+
+    tables = Tables(prefix="fails_", root=scratch_path(spark, "lake"))
+    refresh(spark, tables, bronze_rows=bronze({}))
+    broken = bronze({}, {"event_id": "e2"}).withColumn(
+        "page_url", F.when(F.col("event_id") == "e2", F.raise_error(F.lit("stop"))).otherwise(F.col("page_url")))
+    for attempt in (refresh, refresh_days):
+        with pytest.raises(Exception, match="stop"):
+            attempt(spark, tables, bronze_rows=broken) if attempt is refresh else attempt(spark, tables, broken)
+        assert spark.table(tables.bronze).count() == spark.table(tables.valid).count() == 1
+    refresh(spark, tables, bronze_rows=bronze({}, {"event_id": "e2"}))
+    assert spark.table(tables.valid).count() == spark.table(tables.health).first().valid_event_count == 2
+
+
+def test_stored_lists_read_only_the_days_asked_for(spark, bronze):
+    from eventmill.operators import serve
+
+    tables = Tables(prefix="pruning_", root=scratch_path(spark, "lake"))
+    refresh(spark, tables, bronze_rows=bronze(*({"event_id": f"e{d}", "event_time": f"2026-04-{d:02d}T10:00:00Z"} for d in range(1, 6))))
+    recent = serve.health_rows(spark.table(tables.health).filter("event_date >= DATE'2026-04-04'"), "k1")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and recent.count() == 2
+
+
+def test_queries_leave_no_database_behind(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    spark.range(300).select(
+        F.col("id").alias("event_id"), F.expr("timestamp'2024-01-03 10:00:00' + make_dt_interval(0, 0, 0, id)").alias("ts"),
+        (F.col("id") % 9).alias("user_id"), F.element_at(F.array(*map(F.lit, ("view", "click", "signup", "error", "purchase"))),
+        (F.col("id") % 5 + 1).cast("int")).alias("event_type"), F.lit(1.5).alias("value"), F.lit('{"k": 3}').alias("props"),
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    before = {d.name for d in spark.catalog.listDatabases()}
+    found = registry.queries()["refresh_roundtrip"](spark, str(tmp_path)).collect()
+    assert {r.table_name: r.cnt for r in found}["bronze"] == 300
+    assert {d.name for d in spark.catalog.listDatabases()} == before

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -165,15 +166,70 @@ def test_stream_equals_batch_and_a_repeated_batch_adds_nothing(spark, tmp_path):
     messages(spark, *values).coalesce(1).write.parquet(str(tmp_path / "topic"))
     stream = spark.readStream.schema(MESSAGE).parquet(str(tmp_path / "topic"))
     folders = Folders(str(tmp_path / "dead"), raw=str(tmp_path / "raw"), bronze=str(tmp_path / "bronze"))
-    for progress in ("first", "again"):  # a lost checkpoint repeats batch 0 from the start
+    batch = ingest.bronze_from_messages(ingest.explode_events(opened(spark, *values)))
+    columns = ["event_id", "raw_event_json", "sdk_key", "received_at", "source_file"]
+
+    def written():
+        return sorted(files.read_bronze(spark, str(tmp_path / "absent"), folders.bronze).select(*columns).collect())
+
+    def run(progress):
         consume(stream, folders, str(tmp_path / progress), available_now=True).awaitTermination()
-        bronze = files.read_bronze(spark, str(tmp_path / "absent"), folders.bronze)
-        batch = ingest.bronze_from_messages(ingest.explode_events(opened(spark, *values)))
-        columns = ["event_id", "raw_event_json", "sdk_key", "received_at", "source_file"]
-        assert sorted(bronze.select(*columns).collect()) == sorted(batch.select(*columns).collect())
-        assert spark.read.json(folders.dead_letters).count() == 2
+
+    run("first")
+    assert written() == sorted(batch.select(*columns).collect())
+    assert spark.read.json(folders.dead_letters).count() == 2
+    for commit in (tmp_path / "first/commits").iterdir():  # as if the run had failed after writing
+        commit.unlink()
+    run("first")
+    assert written() == sorted(batch.select(*columns).collect())
+    assert spark.read.json(folders.dead_letters).count() == 2
     raw = ingest.read_records(spark.read.text(folders.raw).select(F.col("value").alias("line"), F.lit("f").alias("file_key")))
     assert raw.filter("problem is null").count() == 3
+    run("second")  # another run into the same folders leaves the first one's rows alone
+    assert written() == sorted([*batch.select(*columns).collect()] * 2)
+    assert spark.read.json(folders.dead_letters).count() == 4
+
+
+def test_a_backlog_is_taken_in_bounded_batches(spark, tmp_path):
+    for number in range(7):
+        write(tmp_path / f"raw_events/date=2026-04-30/events-{number:04d}.jsonl", record(number))
+    export_new_files(spark, str(tmp_path), str(tmp_path / "out"), str(tmp_path / "progress"), max_files=3).awaitTermination()
+    assert len(list((tmp_path / "progress/commits").glob("[0-9]*"))) == 3
+    assert files.read_bronze(spark, str(tmp_path / "out"), str(tmp_path / "none")).count() == 7
+    days = list((tmp_path / "out").glob("date=*"))
+    assert all(len(list(batch.glob("part-*"))) == 1 for day in days for batch in day.iterdir())
+
+
+def test_topic_options_bound_each_batch():
+    from eventmill.sources.topic import MAX_PER_TRIGGER, topic_options
+
+    options = topic_options("host:1", "events.raw", "latest", MAX_PER_TRIGGER)
+    assert options["maxOffsetsPerTrigger"] == "5000000" and options["subscribe"] == "events.raw"
+
+
+def test_file_numbers_are_not_cut(spark):
+    from eventmill.sources import derived
+
+    numbers = spark.createDataFrame([(9_999_999,), (10_000_000,), (12_345_678,)], "event_id bigint").selectExpr(
+        "event_id", "TIMESTAMP'2024-01-03 00:00:00' AS ts", "1 AS user_id", "'view' AS event_type", "1.0 AS value", "'{}' AS props")
+    found = files.placed(files.with_key_parts(derived.raw_file_keys(numbers))).select("n", "seq", "file_key").collect()
+    assert {r.n: r.seq for r in found} == {9_999_999: 9999, 10_000_000: 10000, 12_345_678: 12345}
+    assert "events-10000.jsonl" in {r.n: r.file_key for r in found}[10_000_000]
+
+
+def test_a_misplaced_file_is_a_failure(spark):
+    found = files.with_key_parts(spark.createDataFrame([("raw_events/elsewhere/events-0001.jsonl",)], "file_key string"))
+    with pytest.raises(Exception, match="misplaced raw file: raw_events/elsewhere"):
+        files.placed(found).collect()
+
+
+def test_the_manifest_needs_no_event_text(spark):
+    from eventmill.plans import registry
+
+    folder = Path("/root/testdata/sf0.001")
+    if folder.exists():
+        for name in ("file_manifest_pending", "delivery_pending"):
+            assert "to_json" not in registry.queries()[name](spark, str(folder))._jdf.queryExecution().toString()
 
 
 def test_stream_sinks_can_be_switched_off(spark, tmp_path):

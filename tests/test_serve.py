@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventmill.functions.device import browser_name, device_type, os_name
@@ -35,7 +36,8 @@ def test_list_is_newest_first_cut_and_filtered(spark):
     assert [r.event_date.day for r in serve.health_rows(rows, limit=3).collect()] == [3, 3, 2]
     assert [r.sdk_key for r in serve.health_rows(rows, " a ").collect()] == ["a"] * 3
     assert serve.health_rows(rows, "   ").count() == 6
-    assert serve.health_rows(rows, limit=0).count() == 1
+    with pytest.raises(ValueError):
+        serve.health_rows(rows, limit=0)
 
 
 def test_latest_day_lines(spark):
@@ -121,3 +123,27 @@ def test_user_agents(spark):
     ua = F.col("ua")
     found = rows.select(device_type(ua).alias("d"), os_name(ua).alias("o"), browser_name(ua).alias("b")).collect()
     assert [(r.d, r.o, r.b) for r in found] == [a[1:] for a in agents]
+
+
+def test_lists_totals_and_rankings_cover_the_whole_mart(spark):
+    rows = spark.range(1200).selectExpr(
+        "DATE'2026-01-01' + CAST(id % 30 AS INT) AS event_date", "format_string('k%04d', id) AS sdk_key", "1L AS raw_event_count",
+        "0L AS valid_event_count", "1L AS invalid_event_count", "CAST(1 AS DECIMAL(20,4)) AS invalid_event_ratio", "0L AS distinct_sessions",
+        "TIMESTAMP'2026-01-01' AS latest_event_time", "TIMESTAMP'2026-01-01' AS latest_loaded_at", "0 AS freshness_minutes",
+        "TIMESTAMP'2026-01-01' AS last_updated_at")
+    listed = serve.health_rows(rows)
+    assert listed.count() == 1200 and serve.health_totals(listed).first().raw_event_count == 1200
+    assert serve.workspace_keys(listed).count() == 1200
+    assert serve.top_invalid(listed, 100).count() == 100
+    assert serve.latest_day(listed).count() == 40
+    with pytest.raises(ValueError):
+        serve.top_invalid(listed, 0)
+    promo = mart(spark, PROMOTION_PERFORMANCE, *({"event_date": day(1), "sdk_key": f"k{n}", "campaign_id": "c", "promotion_id": "p"} for n in range(600)))
+    assert serve.top_ctr(serve.promotion_rows(promo), 100).count() == 100
+    assert serve.promotion_rows(promo).count() == 600
+
+
+def test_orders_are_total(spark):
+    rows = health(spark, *({"event_date": day(1), "sdk_key": f"k{n}", "raw_event_count": 3} for n in range(50))).repartition(7)
+    for ordered in (serve.dashboard_health(rows), serve.by_day_and(rows, "raw_event_count"), serve.health_rows(rows)):
+        assert [r.sdk_key for r in ordered.collect()] == sorted(f"k{n}" for n in range(50))
