@@ -124,7 +124,8 @@ class Index:
         at = np.minimum(np.searchsorted(item.grams, names), len(item.grams) - 1)
         both = np.where(item.grams[at] == names, np.minimum(item.counts[at], counts), 0)
         common = float(both @ item.weights[at])
-        return common / (item.total + float(counts @ self.weights_of(names)) - common)
+        every = item.total + float(counts @ self.weights_of(names)) - common
+        return round(common / every, 9)  # so that ties are ties whatever the order of the sums
 
     def _verify(self, item: int, grams: np.ndarray, hits: np.ndarray, n: int) -> tuple[float, int]:
         """The most similar window of a document, its shingles given, and where it starts; 0 if none will do.

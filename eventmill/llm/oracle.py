@@ -34,10 +34,52 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
 FROM hashed JOIN holders USING (h)
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP6 = rf"""
+WITH items AS (
+    SELECT item_id, w, len(w) AS n, least(5, len(w)) AS k
+    FROM (SELECT item_id, regexp_extract_all({_LOWER}, '{WORD}') AS w FROM benchmark) WHERE len(w) > 0),
+item_grams AS (
+    SELECT item_id, k, g, count(*) AS times
+    FROM (SELECT item_id, k, unnest(list_transform(range(1, n - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS g FROM items)
+    GROUP BY item_id, k, g),
+weights AS (SELECT g, 1 + ln((SELECT count(*) FROM items) / count(DISTINCT item_id)) AS weight FROM item_grams GROUP BY g),
+unknown AS (SELECT 1 + ln(count(*)) AS weight FROM items),
+totals AS (SELECT item_id, sum(times * weight) AS total FROM item_grams JOIN weights USING (g) GROUP BY item_id),
+docs AS (SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, regexp_extract_all({_LOWER}, '{WORD}') AS w FROM documents)),
+grams AS (
+    SELECT doc_id, k, n, unnest(range(0, n - k + 1)) AS p,
+           unnest(list_transform(range(1, n - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS g
+    FROM docs, (SELECT DISTINCT k FROM items) WHERE n >= k
+    UNION ALL SELECT doc_id, k, n, 0, array_to_string(w, ' ') FROM docs, (SELECT DISTINCT k FROM items) WHERE n < k AND n > 0),
+hits AS (
+    SELECT doc_id, item_id, k, p, greatest(1, least(items.n, grams.n) - k + 1) AS wide,
+           greatest(0, grams.n - k + 1 - greatest(1, least(items.n, grams.n) - k + 1)) AS last
+    FROM grams JOIN item_grams USING (k, g) JOIN items USING (item_id, k)),
+windows AS (
+    SELECT DISTINCT doc_id, item_id, k, wide, unnest(range(greatest(0, p - wide + 1), least(p, last) + 1)) AS start FROM hits),
+held AS (
+    SELECT doc_id, item_id, start, g, count(*) AS c FROM windows JOIN grams USING (doc_id, k)
+    WHERE p BETWEEN start AND start + wide - 1 GROUP BY doc_id, item_id, start, g),
+scored AS (
+    SELECT doc_id, item_id, start, sum(least(c, coalesce(times, 0)) * coalesce(weights.weight, 0)) AS common,
+           sum(c * coalesce(weights.weight, unknown.weight)) AS own
+    FROM held LEFT JOIN item_grams USING (item_id, g) LEFT JOIN weights USING (g), unknown
+    GROUP BY doc_id, item_id, start),
+rated AS (SELECT doc_id, item_id, start, round(common / (total + own - common), 9) AS similarity FROM scored JOIN totals USING (item_id))
+SELECT doc_id, item_id, arg_min(start, (-similarity, start)) AS start, min(least(items.n, docs.n)) AS n_words, max(similarity) AS similarity
+FROM rated JOIN items USING (item_id) JOIN docs USING (doc_id)
+WHERE similarity >= 0.8 GROUP BY doc_id, item_id
+"""
+
 _OP8 = """
 WITH hexed AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
-windows AS (SELECT doc_id, unnest(range(0, len(h) // 2 - 199)) AS s, h FROM hexed),
-keyed AS (SELECT doc_id, s, md5(h[2 * s + 1 : 2 * s + 400]) AS k FROM windows),
+-- a thousand window starts at a time, so that no long text is copied for each of its windows
+parts AS (SELECT doc_id, b, least(1000, len(h) // 2 - 199 - b) AS n, substr(h, 2 * b + 1, 2400) AS part
+          FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199, 1000)) AS b FROM hexed)),
+keyed AS (SELECT doc_id, b + unnest(range(0, n)) AS s,
+                 unnest(list_transform(range(0, n), lambda i: md5(substr(part, 2 * i + 1, 400)))) AS k FROM parts),
 repeated AS (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1),
 hits AS (SELECT doc_id, s FROM keyed SEMI JOIN repeated USING (k)),
 marked AS (SELECT doc_id, s, s > 200 + lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS apart FROM hits),
@@ -111,5 +153,5 @@ FROM whole
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_substring_dedup": _OP1, "op2_quality_rules": _OP2, "op3_warc": _OP3, "op8_suffix_dedup": _OP8, "op10_mixing": _OP10,
+        "op1_substring_dedup": _OP1, "op2_quality_rules": _OP2, "op3_warc": _OP3, "op6_decontamination": _OP6, "op8_suffix_dedup": _OP8, "op10_mixing": _OP10,
     }

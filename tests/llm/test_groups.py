@@ -131,9 +131,9 @@ def brute_contamination(rows, items):
                 b = Counter(shingles(window)) if len(window) >= min(5, len(item)) else Counter()
                 both = sum(weight(s) * min(a[s], b[s]) for s in a)
                 every = sum(weight(s) * max(a[s], b[s]) for s in set(a) | set(b))
-                best = max(best, (both / every, -start))
+                best = max(best, (round(both / every, 9), -start))
             if best[0] >= 0.8:
-                out[doc_id, item_id] = (-best[1], min(len(item), len(words)), round(best[0], 9))
+                out[doc_id, item_id] = (-best[1], min(len(item), len(words)), best[0])
     return out
 
 
@@ -157,7 +157,7 @@ def test_contamination_is_exact(spark):
     rows, items = leaks()
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     docs = with_clashes(documents(spark, rows))
-    found = {(r.doc_id, r.item_id): (r.start, r.n_words, round(r.similarity, 9)) for r in contaminated(docs, with_clashes(benchmark)).collect()}
+    found = {(r.doc_id, r.item_id): (r.start, r.n_words, r.similarity) for r in contaminated(docs, with_clashes(benchmark)).collect()}
     assert found == brute_contamination(rows, items)
     assert {d for d, _ in found} >= {0, 1, 2, 6}
     clean = decontaminate(docs, benchmark)
