@@ -97,11 +97,11 @@ class Index:
         self.sieve[(self.grams & np.uint64(_SIEVE - 1)).astype(np.int64)] = True
         self.sizes = sorted({item.size for item in items})
         prints = np.array([item.fingerprint for item in items], dtype=np.uint64)
-        values = np.arange(1 << _BITS, dtype=np.uint64)
+        values = np.arange(1 << _BITS, dtype=np.uint16)
         #: Of each block, a row an item: which values of the block are close to the item's.
         self.near = []
         for block in range(_BLOCKS):
-            own = (prints >> np.uint64(block * _BITS)) & np.uint64((1 << _BITS) - 1)
+            own = (prints >> np.uint64(block * _BITS)).astype(np.uint16)  # the lowest sixteen bits of it
             self.near.append(np.packbits(np.bitwise_count(own[:, None] ^ values) <= radius // _BLOCKS, axis=1))
 
     def weights_of(self, grams: np.ndarray) -> np.ndarray:

@@ -116,7 +116,7 @@ judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base
 hosts AS (SELECT source, count(*) AS n, CAST(count(*) FILTER (base_failed) AS DOUBLE) AS f FROM judged GROUP BY source),
 overall AS (SELECT sum(f) / sum(n) AS m FROM hosts),
 spread AS (SELECT m, avg((f / n - m) * (f / n - m)) AS v FROM hosts, overall GROUP BY m),
-prior AS (SELECT m, CASE WHEN v > 0 THEN greatest(1, least(1000, m * (1 - m) / v - 1)) ELSE 1000 END AS k FROM spread),
+prior AS (SELECT m, CASE WHEN v > 1e-12 THEN greatest(1, least(1000, m * (1 - m) / v - 1)) ELSE 1000 END AS k FROM spread),
 rates AS (SELECT source, (f + m * k) / (n + k) AS rate FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept
 FROM judged JOIN rates ON judged.source IS NOT DISTINCT FROM rates.source

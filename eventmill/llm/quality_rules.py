@@ -25,6 +25,8 @@ SYMBOLS = "#*$%&|<>"
 WORST_HOST = 0.5
 #: Bounds of the prior's strength, in documents.
 _WEAKEST, _STRONGEST = 1.0, 1000.0
+#: Rates that spread no more than rounding does are equal.
+_NO_SPREAD = 1e-12
 
 
 def _duplicate_lines(text: Column) -> Column:
@@ -71,13 +73,15 @@ def host_rates(judged: DataFrame) -> DataFrame:
     hosts = judged.groupBy("source").agg(
         F.count("*").alias("documents"), F.sum(F.col("base_failed").cast("long")).alias("failures"))
     rate = F.col("failures") / F.col("documents")
-    mean = hosts.agg((F.sum("failures") / F.sum("documents")).alias("mean"))
-    fitted = hosts.join(F.broadcast(mean)).agg(  # one row
-        F.first("mean").alias("mean"), F.avg((rate - F.col("mean")) * (rate - F.col("mean"))).alias("spread"))
-    strength = F.when(F.col("spread") > 0, F.col("mean") * (1 - F.col("mean")) / F.col("spread") - 1).otherwise(_STRONGEST)
-    prior = fitted.select("mean", F.greatest(F.lit(_WEAKEST), F.least(F.lit(_STRONGEST), strength)).alias("strength"))
-    shrunk = (F.col("failures") + F.col("mean") * F.col("strength")) / (F.col("documents") + F.col("strength"))
-    return hosts.join(F.broadcast(prior)).select("source", "documents", "failures", shrunk.alias("rate"))
+    fit = hosts.agg(  # one row
+        F.count("*").alias("hosts"), F.sum("documents").alias("documents"), F.sum("failures").alias("failures"),
+        F.sum(rate).alias("rates"), F.sum(rate * rate).alias("squares")).first()
+    mean = fit.failures / fit.documents if fit.hosts else 0.0
+    spread = (fit.squares - 2 * mean * fit.rates) / fit.hosts + mean * mean if fit.hosts else 0.0
+    strength = mean * (1 - mean) / spread - 1 if spread > _NO_SPREAD else _STRONGEST
+    strength = max(_WEAKEST, min(_STRONGEST, strength))
+    shrunk = (F.col("failures") + mean * strength) / (F.col("documents") + strength)
+    return hosts.select("source", "documents", "failures", shrunk.alias("rate"))
 
 
 def quality_rules(documents: DataFrame, worst: float = WORST_HOST) -> DataFrame:
