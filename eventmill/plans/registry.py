@@ -495,8 +495,16 @@ def rate_tiers_report(events: DataFrame) -> DataFrame:
 
 @_query
 def contract_violations(events: DataFrame) -> DataFrame:
-    """Marts' rows that the serving contract would reject, as found per list."""
-    lists = serve.dashboard(_health_mart(events), _promotion_mart(events), _funnel_mart(events))
+    """Marts' rows that the serving contract would reject, as found per list; from one Silver pass."""
+    bronze = derived.bronze_rows(events)
+    stored = checkpointed(silver.survivors(bronze).drop("raw_event_json"))
+    kept = stored.withColumn("raw_event_json", F.lit(None).cast("string"))  # no mart reads it
+    valid = silver.valid_events(kept)
+    lists = serve.dashboard(
+        health.workspace_health(bronze, kept),
+        promotion.promotion_performance(promotion.promotion_rollup(valid)),
+        funnel.campaign_funnel(valid),
+    )
     found = (
         serve.contract_violations(rows, serve.NULLABLE[name]).agg(
             F.lit(name).alias("list_name"), F.count("*").alias("violations")
