@@ -121,17 +121,21 @@ def _store(df: DataFrame, table: str, day: str, views: dict[str, str], order: tu
 
 
 def _overwrite_days(df: DataFrame, table: str, day: str, days: DataFrame, order: tuple[str, ...] = ()) -> None:
-    """Replace the given days of a table's current version; a day that gets no rows is dropped."""
+    """Replace the given days of a table's current version; a day that gets no rows is dropped.
+
+    `df` may read the very days that it replaces: they go when all new files are written.
+    """
     spark = df.sparkSession
     version = current_version(spark, table)
+    written = df.select(day).distinct()
+    empty = days.join(written, days[DAY].eqNullSafe(written[day]), "left_anti").collect()  # calendar days
     rows = df.select(*spark.table(version).columns).hint("rebalance", day)
     rows = rows.sortWithinPartitions(*order) if order else rows
     rows.write.mode("overwrite").insertInto(version)  # only the days in it, by the session's setting
-    written = df.select(day).distinct()
-    empty = days.join(written, days[DAY].eqNullSafe(written[day]), "left_anti").collect()  # calendar days
     for row in empty:
         value = "null" if row[0] is None else f"DATE'{row[0]}'"
         spark.sql(f"ALTER TABLE {version} DROP IF EXISTS PARTITION ({day} = {value})")
+    spark.catalog.refreshTable(version)
 
 
 def _columns(layout: T.StructType, stored_as: dict[str, str] | None = None) -> str:
@@ -280,8 +284,7 @@ def refresh_days(spark: SparkSession, tables: Tables, new_rows: DataFrame) -> li
     all_days = checkpointed(silver_days.union(new.select(DAY)).distinct())
     days = [row[0] for row in silver_days.collect()]  # calendar days
     others = kept.filter(_among(days)).join(ids, "event_id", "left_anti")
-    _overwrite_days(checkpointed(others.unionByName(winners)), tables.survivors, DAY, silver_days, ("outcome",))
-    spark.catalog.refreshTable(current_version(spark, tables.survivors))
+    _overwrite_days(others.unionByName(winners), tables.survivors, DAY, silver_days, ("outcome",))
 
     touched = [row[0] for row in all_days.collect()]
     marts = ((_health, tables.health), (_promotion, tables.promotion), (_funnel, tables.funnel))
