@@ -17,7 +17,7 @@ rows get equal results. Other columns are ignored. An empty table gives no rows.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,8 +36,8 @@ WORDS, SEQUENCES, LONGEST = 20_000, 10_000, 4
 SMOOTHING = 0.5
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-#: Entries at which a task hands on its counts, or forgets its remembered words.
-_MOST_HELD = 300_000
+#: Words of a language at which a task hands on its counts, or forgets its remembered words; and languages.
+_MOST_HELD, _MOST_LANGS = 300_000, 16
 
 
 def word_counts(documents: DataFrame) -> DataFrame:
@@ -45,21 +45,23 @@ def word_counts(documents: DataFrame) -> DataFrame:
     ship(documents.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: defaultdict[str, Counter] = defaultdict(Counter)
 
-        def settle() -> pa.RecordBatch:
-            langs, words = zip(*held) if held else ((), ())
-            out = arrow.batch(lang=pa.array(langs, pa.string()), word=pa.array(words, pa.string()), n=pa.array(list(held.values()), pa.int64()))
-            held.clear()
-            return out
+        def settle(lang: str) -> pa.RecordBatch:
+            counts = held.pop(lang)
+            return arrow.batch(
+                lang=pa.array([lang] * len(counts), pa.string()), word=pa.array(list(counts), pa.string()),
+                n=pa.array(list(counts.values()), pa.int64()))
 
         for rows in batches:
             for lang, text in zip(rows.column("lang").to_pylist(), rows.column("text").to_pylist()):
-                for word, n in Counter(_LETTERS.findall(text.lower())).items():
-                    held[lang, word] += n
-                if len(held) > _MOST_HELD:
-                    yield settle()
-        yield settle()
+                held[lang].update(_LETTERS.findall(text.lower()))
+                if len(held[lang]) > _MOST_HELD:
+                    yield settle(lang)
+            while len(held) > _MOST_LANGS:
+                yield settle(next(iter(held)))
+        for lang in list(held):
+            yield settle(lang)
 
     counted = documents.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
     return counted.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -173,7 +175,9 @@ def predict(documents: DataFrame, model: LanguageModel) -> DataFrame:
                 if len(rows_of) > _MOST_HELD:
                     rows_of, logs = {}, logs[:0]
                 found = [_LETTERS.findall(t.lower()) if t else [] for t in texts[low : low + 200]]
-                new = list({w for words in found for w in words if w not in rows_of})
+                places = [list(map(rows_of.get, words)) for words in found]
+                partly = [i for i, at in enumerate(places) if None in at]
+                new = list({w for i in partly for w, at in zip(found[i], places[i]) if at is None})
                 if new and model.langs:
                     row = model.words.find(_hashes(new))
                     fresh = model.words.logs[row]
@@ -181,12 +185,14 @@ def predict(documents: DataFrame, model: LanguageModel) -> DataFrame:
                     fresh[unknown] = model.unseen([new[i] for i in unknown])
                     rows_of.update((w, len(logs) + i) for i, w in enumerate(new))
                     logs = np.concatenate([logs, fresh])
-                for words in found:
+                    for i in partly:
+                        places[i] = list(map(rows_of.get, found[i]))
+                for words, at in zip(found, places):
                     if not words or not model.langs:
                         langs.append(UNDETERMINED)
                         scores.append(0.0)
                         continue
-                    total = logs[[rows_of[w] for w in words]].sum(axis=0) / np.sqrt(len(words))
+                    total = logs[at].sum(axis=0) / np.sqrt(len(words))
                     odds = np.exp(total - total.max())
                     best = int(odds.argmax())
                     langs.append(model.langs[best])
