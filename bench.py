@@ -4,7 +4,7 @@
 table and thus includes deriving Bronze from it. Every query runs once to warm up and then `BENCH_RUNS`
 times; the best run counts. `value` is their sum; no query is part of another.
 
-`layers` is about scale: Bronze of `BENCH_ROWS` rows (default two million) is stored first, then Silver and
+`layers` is about scale: Bronze of `BENCH_ROWS` rows (default half a million) is stored first, then Silver and
 each mart are built from stored rows, as a refresh does. It gives seconds, and rows of the layer's input per
 second and core.
 """
@@ -33,11 +33,11 @@ HEADLINE = (
 )
 
 
-def many_events(events, rows: int):
-    """The events over again under other numbers and users, until there are `rows` of them."""
+def many_events(events, rows: int, tasks: int):
+    """The events over again under other numbers and users, until there are `rows` of them, in `tasks` parts."""
     known = events.count()
     times = max(1, -(-rows // known))
-    repeated = events.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
+    repeated = events.repartition(tasks, "event_id").withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
     return repeated.withColumns({
         "event_id": F.col("event_id") + F.col("turn") * F.lit(10 * known),
         "user_id": F.col("user_id") + F.col("turn") * F.lit(1_000_000),
@@ -47,8 +47,8 @@ def many_events(events, rows: int):
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
-    rows = int(os.environ.get("BENCH_ROWS", "2000000"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    rows = int(os.environ.get("BENCH_ROWS", "500000"))
     spark = build_session(
         "bench", f"local[{cpus}]",
         **{
@@ -78,7 +78,7 @@ def main() -> None:
 
     tables = refresh.Tables(prefix="bench_", root=scratch_path(spark, "bench"))
     refresh.create_databases(spark, tables)
-    events, known = many_events(derived.read_events(spark, folder), rows)
+    events, known = many_events(derived.read_events(spark, folder), rows, 4 * int(cpus))
     refresh.build_bronze(derived.bronze_rows(events), tables)
     layers = {}
     for name, build in (
