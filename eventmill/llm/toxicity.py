@@ -23,7 +23,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import product
 
@@ -97,8 +97,8 @@ AIMING = _machine(2, lambda s, x: int(s or x == TARGET), lambda s, x: int(x == T
 GRAMMAR = MATCHER.then(NEGATING).then(REPORTING).then(AIMING)
 
 
-def clause_patterns(symbols: list[int]) -> list[int]:
-    """The patterns (numbers in PATTERNS) that a clause matches."""
+def clause_patterns(symbols: Iterable[int]) -> list[int]:
+    """The patterns (numbers in PATTERNS) that a clause of any length matches."""
     state, matches, aimed = GRAMMAR.start, [], 0
     for symbol in symbols:
         put = GRAMMAR.puts[state, symbol]
@@ -138,18 +138,19 @@ class ToxicityModel:
         return INSULT if any(known) else DOUBTFUL if known else OTHER
 
     def patterns(self, text: str, lexicon: ahocorasick.Automaton) -> Counter:
-        """How often each pattern occurs; only clauses that hold a listed beginning are read word by word."""
+        """How often each pattern occurs; only clauses that hold a listed beginning are read
+        word by word, each once and whole."""
         lowered = text.lower()
-        found, upto = Counter(), -1
+        found, upto = Counter(), 0
         for last, stem in lexicon.iter(lowered):
             begin = last - len(stem) + 1
             if begin < upto or (begin and (lowered[begin - 1].isalpha())):
                 continue
-            low = max((m.end() for m in _CLAUSE_END.finditer(lowered, max(0, begin - 400), begin)), default=max(0, begin - 400))
+            for end in _CLAUSE_END.finditer(lowered, upto, begin):
+                upto = end.end()
             end = _CLAUSE_END.search(lowered, last)
-            upto = end.start() if end else len(lowered)
-            upto = min(upto, last + 400)
-            found.update(clause_patterns([self.symbol(w) for w in _WORD.findall(lowered[low:upto])]))
+            low, upto = upto, end.start() if end else len(lowered)
+            found.update(clause_patterns(self.symbol(word.group()) for word in _WORD.finditer(lowered, low, upto)))
         return found
 
     def score(self, counts: np.ndarray) -> np.ndarray:

@@ -157,6 +157,17 @@ def test_prior_weights_order_the_patterns():
     assert scores[0] < 0.5 < scores[3] < scores[4] and scores[1] < 0.5 and scores[2] < scores[3]
 
 
+def test_long_clauses_are_read_whole_and_once():
+    insult, far = toxicity.INSULT, "word " * 200
+    assert patterns_of(f"he said {far}idiot") == {(insult, 0, 1, 1): 1}
+    assert patterns_of(f"idiot {far}you") == {(insult, 0, 0, 1): 1}
+    assert patterns_of(f"skill {'a' * 394} idiot {'a' * 394} killer") == {(insult, 0, 0, 0): 1}
+    assert patterns_of(f"skill {'ab ' * 131}ab idiot") == {(insult, 0, 0, 0): 1}
+    for gap in range(60, 110):
+        assert patterns_of(f"{'word ' * gap}idiot " * 12) == {(insult, 0, 0, 0): 12}
+    assert patterns_of(f"you {far}, idiot, {far} you") == {(insult, 0, 0, 0): 1}
+
+
 def test_learned_beginnings_are_those_of_the_toxic_words(spark):
     truth = {i: t for i, _, t in MARKS}
     marked = spark.createDataFrame([(r[1], truth[r[0]]) for r in ROWS if r[0] in truth], "text string, label int")
