@@ -54,7 +54,11 @@ def occurrences(docs: DataFrame, units: Units, length: int, gram: int, apart: bo
             for low, high in groups([len(t) for t in texts]):
                 part = texts[low:high]
                 tags = np.array([anchors.tag_of(t) for t in part])
-                for found in anchors.scan(*units(part), length, gram):
+                pieces = anchors.scan(*units(part), length, gram)
+                if apart:  # ordinals count through all pieces of a text
+                    whole = [np.concatenate(column) for column in zip(*pieces)]
+                    pieces = [anchors.Anchors(*whole)] if whole else []
+                for found in pieces:
                     context = found.context
                     if apart:
                         again = _ordinal(mix(found.gram ^ mix(context + found.text.astype(np.uint64))))

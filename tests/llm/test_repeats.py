@@ -166,3 +166,13 @@ def test_query_digests(spark, tmp_path):
     assert found == {r[0]: hashlib.sha256(r[3].encode()).hexdigest() for r in brute_substring(ODD, 50)}
     found = {r.doc_id: (r.n_spans, r.kept_sha256) for r in op8_suffix_dedup(spark, str(tmp_path)).collect()}
     assert found == {r[0]: (r[3], hashlib.sha256(r[4]).hexdigest()) for r in brute_suffix(ODD, 200)}
+
+
+def test_substring_dedup_of_a_text_cut_into_pieces(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(1 << 40)}" for _ in range(anchors.CHUNK // 2 + 60_000)]
+    passage = [f"p{i}" for i in range(160)]
+    long = [*words[:1000], *passage, *words[1000 : anchors.CHUNK // 2 + 30_000], *passage, *words[anchors.CHUNK // 2 + 30_000 :], *passage[:70]]
+    rows = rows_of(" ".join(long), " ".join([*words[:30], *passage]), " ".join(words[5000:5100]), first=5)
+    docs = documents(spark, rows)
+    assert run_substring(docs, length=20, gram=8) == brute_substring(rows, 20)
