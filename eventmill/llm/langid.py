@@ -1,12 +1,13 @@
 """Language of a text, word first: known words by their frequency in each language, others by their letters.
 
-The model counts the words (runs of letters, lower-cased) of all documents it may learn from, by language.
-Of these counts it keeps the most frequent words, and the most frequent letter sequences of one to four
-letters, counted over the same words; both tables have a fixed size, whatever the corpus. A known word adds
-its log frequency in each language. An unseen word is read from left to right: each place adds the log
+The model counts the words (runs of letters, lower-cased) of all documents it may learn from, by language,
+and the letter sequences of one to four letters in them. All these counts are kept, as tables. A known word
+adds its log frequency in each language. An unseen word is read from left to right: each place adds the log
 frequency of the longest known sequence that starts there, four letters, else three, else two, else one.
 
-Words are counted in each task, then by Spark; only the two bounded tables reach the driver.
+The most frequent words are also handed to each task, which sums them up as it reads; a text's other words
+are counted, looked up by a join, and summed by a group. The size of that hand-out changes no result: logs are
+rounded to whole numbers, so that sums do not depend on their order.
 
 Decided cases: a null text, or one without letters, is ``und`` with score 0; so is everything if there is
 nothing to learn from. A row without a doc_id is neither learned from nor held out. Rows with a null lang
@@ -31,12 +32,12 @@ from .labels import held_out, remainder
 from .workspace import ship
 from ..session import scratch_path
 
-#: Sizes of the model's tables: words, and sequences of each length.
-WORDS, SEQUENCES, LONGEST = 20_000, 10_000, 4
+#: Words that tasks hold; the longest sequence; what a log is multiplied by before it is rounded.
+WORDS, LONGEST, SCALE = 20_000, 4, 1 << 24
 SMOOTHING = 0.5
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-#: Words of a language at which a task hands on its counts, or forgets its remembered words; and languages.
+#: Words of a language at which a task hands on its counts; and languages.
 _MOST_HELD, _MOST_LANGS = 300_000, 16
 
 
@@ -105,6 +106,8 @@ def _table(rows: list, langs: list[str], totals: dict[str, int]) -> _Table:
 
 @dataclass
 class LanguageModel:
+    """The model as arrays, for counts that fit into memory."""
+
     langs: list[str]
     words: _Table
     sequences: list[_Table]
@@ -130,77 +133,114 @@ class LanguageModel:
         return out
 
 
-def fit(documents: DataFrame, words: int = WORDS, sequences: int = SEQUENCES) -> LanguageModel:
-    """Counts all rows of (lang, text); ``words`` and ``sequences`` bound what the model keeps of the counts."""
+@dataclass
+class Counted:
+    """The model as tables of (unit, all, l0, l1, ...): a unit's count, and its log in each language, scaled."""
+
+    langs: list[str]
+    words: DataFrame | None = None
+    sequences: DataFrame | None = None
+    unseen: tuple[int, ...] = ()
+    """Of a letter that no language has."""
+    most: int = WORDS
+
+
+def _logged(units: DataFrame, langs: list[str], path: str) -> tuple[DataFrame, tuple[int, ...]]:
+    """A table of the model from (unit, lang, n), stored; and the logs of what is not in it."""
+    spark = units.sparkSession
+    counts = [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, lang in enumerate(langs)]
+    wide = units.groupBy("unit").agg(F.sum("n").alias("all"), *counts)
+    wide.write.parquet(f"{path}-counts")
+    wide = spark.read.schema(wide.schema).parquet(f"{path}-counts")
+    sums = wide.agg(F.count("*").alias("units"), *(F.sum(f"n{i}").alias(f"n{i}") for i in range(len(langs)))).first()
+    totals = [(sums[f"n{i}"] or 0) + SMOOTHING * (sums.units + 1) for i in range(len(langs))]
+    logs = [F.round(F.log((F.col(f"n{i}") + SMOOTHING) / t) * SCALE).cast("long").alias(f"l{i}") for i, t in enumerate(totals)]
+    return wide.select("unit", "all", *logs), tuple(round(float(np.log(SMOOTHING / t)) * SCALE) for t in totals)
+
+
+def fit(documents: DataFrame, words: int = WORDS) -> Counted:
+    """Counts all rows of (lang, text); ``words``: how many tasks hold at once, which changes no result."""
     spark = documents.sparkSession
     path = scratch_path(spark, "language-words")
     word_counts(documents).write.parquet(path)
     counted = spark.read.schema("lang string, word string, n long").parquet(path)
-
-    def most_frequent(units: DataFrame, size: int) -> list:
-        top = units.groupBy("unit").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "unit").limit(size)
-        return units.join(top.select("unit"), "unit").collect()
-
-    totals = {r.lang: r.n for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    langs = sorted(totals)
-    tables = [_table(most_frequent(counted.withColumnRenamed("word", "unit"), words), langs, totals)]
+    langs = sorted(r.lang for r in counted.select("lang").distinct().collect())
+    if not langs:
+        return Counted(langs)
+    known, _ = _logged(counted.withColumnRenamed("word", "unit"), langs, f"{path}-0")
+    tables = []
     for n in range(1, LONGEST + 1):
         places = F.sequence(F.lit(1), F.length("word") - (n - 1))
         grams = counted.where(F.length("word") >= n).select(
             "lang", "n", F.explode(F.transform(places, lambda at: F.substring("word", at, F.lit(n)))).alias("unit"))
-        grams = grams.groupBy("unit", "lang").agg(F.sum("n").alias("n"))
-        grams_path = f"{path}-{n}"
-        grams.write.parquet(grams_path)
-        grams = spark.read.schema("unit string, lang string, n long").parquet(grams_path)
-        sums = {r.lang: r.n for r in grams.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        tables.append(_table(most_frequent(grams, sequences), langs, sums))
-    return LanguageModel(langs, tables[0], tables[1:])
-
-
-def predict(documents: DataFrame, model: LanguageModel) -> DataFrame:
+        tables.append(_logged(grams.groupBy("unit", "lang").agg(F.sum("n").alias("n")), langs, f"{path}-{n}"))
+    sequences = tables[0][0]
+    for table, _ in tables[1:]:
+        sequences = sequences.unionByName(table)
+    return Counted(langs, known, sequences, tables[0][1], words)
+
+
+def _backed_off(words: DataFrame, model: Counted) -> DataFrame:
+    """(word, l0, l1, ...) of words that are not known, from their letters."""
+    names = [f"l{i}" for i in range(len(model.langs))]
+    place = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("at"))
+    lengths = F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("word") - F.col("at") + 1))
+    units = place.select("word", "at", F.explode(lengths).alias("n")).withColumn("unit", F.substring("word", F.col("at"), F.col("n")))
+    longest = units.join(model.sequences, "unit").groupBy("word", "at").agg(*(F.max_by(x, "n").alias(x) for x in names))
+    summed = longest.groupBy("word").agg(F.count("*").alias("hits"), *(F.sum(x).alias(x) for x in names))
+    missed = F.length("word") - F.coalesce("hits", F.lit(0))
+    return words.join(summed, "word", "left").select(
+        "word", *((F.coalesce(x, F.lit(0)) + missed * F.lit(none)).cast("long").alias(x) for x, none in zip(names, model.unseen)))
+
+
+def predict(documents: DataFrame, model: Counted) -> DataFrame:
     """doc_id, lang_pred, score: the chosen language's share after a soft maximum of the scores per root of
     the number of words."""
     spark = documents.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)  # its tables have a fixed size
-
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        rows_of: dict[str, int] = {}
-        logs = np.zeros((0, len(model.langs)))
-        for rows in batches:
-            texts = rows.column("text").to_pylist()
-            langs, scores = [], []
-            for low in range(0, len(texts), 200):
-                if len(rows_of) > _MOST_HELD:
-                    rows_of, logs = {}, logs[:0]
-                found = [_LETTERS.findall(t.lower()) if t else [] for t in texts[low : low + 200]]
-                places = [list(map(rows_of.get, words)) for words in found]
-                partly = [i for i, at in enumerate(places) if None in at]
-                new = list({w for i in partly for w, at in zip(found[i], places[i]) if at is None})
-                if new and model.langs:
-                    row = model.words.find(_hashes(new))
-                    fresh = model.words.logs[row]
-                    unknown = np.flatnonzero(row < 0)
-                    fresh[unknown] = model.unseen([new[i] for i in unknown])
-                    rows_of.update((w, len(logs) + i) for i, w in enumerate(new))
-                    logs = np.concatenate([logs, fresh])
-                    for i in partly:
-                        places[i] = list(map(rows_of.get, found[i]))
-                for words, at in zip(found, places):
-                    if not words or not model.langs:
-                        langs.append(UNDETERMINED)
-                        scores.append(0.0)
-                        continue
-                    total = logs[at].sum(axis=0) / np.sqrt(len(words))
-                    odds = np.exp(total - total.max())
-                    best = int(odds.argmax())
-                    langs.append(model.langs[best])
-                    scores.append(float(odds[best] / odds.sum()))
-            yield arrow.batch(doc_id=rows.column("doc_id"), lang_pred=pa.array(langs, pa.string()), score=pa.array(scores, pa.float64()))
-
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInArrow(label, "doc_id long, lang_pred string, score double")
+    if not model.langs:
+        return narrow.select("doc_id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    names = [f"l{i}" for i in range(len(model.langs))]
+    top = model.words.orderBy(F.desc("all"), "unit").limit(model.most).collect()
+    shared = spark.sparkContext.broadcast(
+        ({r.unit: i for i, r in enumerate(top)}, np.array([[r[x] for x in names] for r in top], dtype=np.int64).reshape(-1, len(names))))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row_of, logs = shared.value
+        for rows in batches:
+            sizes, sums, rest, times = [], [], [], []
+            for text in rows.column("text").to_pylist():
+                counts = Counter(_LETTERS.findall(text.lower())) if text else {}
+                held = {row_of[w]: n for w, n in counts.items() if w in row_of}
+                others = {w: n for w, n in counts.items() if w not in row_of}
+                sizes.append(sum(counts.values()))
+                sums.append(np.fromiter(held.values(), np.int64, len(held)) @ logs[list(held)] if held else np.zeros(len(names), np.int64))
+                rest.append(list(others))
+                times.append(list(others.values()))
+            yield arrow.batch(
+                row=rows.column("row"), doc_id=rows.column("doc_id"), size=pa.array(sizes, pa.int64()), held=pa.array(sums, pa.list_(pa.int64())),
+                rest=pa.array(rest, pa.list_(pa.string())), times=pa.array(times, pa.list_(pa.int64())))
+
+    schema = "row long, doc_id long, size long, held array<long>, rest array<string>, times array<long>"
+    path = scratch_path(spark, "language-texts")
+    numbered = narrow.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    numbered.mapInArrow(read, schema).write.parquet(path)
+    texts = spark.read.schema(schema).parquet(path)
+    rest = texts.select("row", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("row", F.col("x.rest").alias("word"), F.col("x.times").alias("n"))
+    wanted = rest.select("word").distinct()
+    known = model.words.select(F.col("unit").alias("word"), *names)
+    logs_of = wanted.join(known, "word").unionByName(_backed_off(wanted.join(known, "word", "left_anti"), model))
+    summed = rest.join(logs_of, "word").groupBy("row").agg(*(F.sum(F.col("n") * F.col(x)).alias(x) for x in names))
+    scores = F.array(*(
+        (F.col("held")[i] + F.coalesce(x, F.lit(0))) / F.lit(float(SCALE)) / F.sqrt(F.greatest("size", F.lit(1))) for i, x in enumerate(names)))
+    scored = texts.select("row", "doc_id", "size", "held").join(summed, "row", "left").select("doc_id", "size", scores.alias("scores"))
+    best = F.array_max("scores")
+    odds = F.aggregate("scores", F.lit(0.0), lambda total, x: total + F.exp(x - best))
+    named = F.element_at(F.array(*map(F.lit, model.langs)), F.array_position("scores", best).cast("int"))
+    return scored.select(
+        "doc_id", F.when(F.col("size") > 0, named).otherwise(UNDETERMINED).alias("lang_pred"),
+        F.when(F.col("size") > 0, 1 / odds).otherwise(0.0).alias("score"))
 
 
 def identify(documents: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:

@@ -225,3 +225,35 @@ def test_unseen_words_fall_back_to_shorter_sequences():
     log = lambda table, unit: table.logs[table.find(langid._hashes([unit]))[0]]
     assert np.allclose(model.unseen(["abq"])[0], log(two, "ab") + log(one, "b") + one.logs[-1])
     assert model.unseen([]).shape == (0, 2)
+
+
+def test_every_counted_word_and_sequence_is_used(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 8)))
+    prose = {lang: [word() for _ in range(150)] for lang in ("xx", "yy", "zz")}
+    learn = [(lang, " ".join(rng.choices(prose[lang], k=40))) for lang, n in (("xx", 40), ("yy", 10), ("zz", 2)) for _ in range(n)]
+    texts = [" ".join([*rng.choices(prose[rng.choice(sorted(prose))], k=9), word() + word(), "qä", "ß"]) for _ in range(30)]
+    texts += [texts[0], "", None, "12", "qä"]
+    counts = Counter((w, lang) for lang, text in learn for w in text.split())
+    tables = []
+    for n in range(5):
+        units = Counter()
+        for (w, lang), k in counts.items():
+            units.update({(w, lang): k} if n == 0 else Counter([(w[i : i + n], lang) for i in range(len(w) - n + 1)] * k))
+        rows = [type("R", (), {"unit": u, "lang": lang, "n": k}) for (u, lang), k in units.items()]
+        tables.append(langid._table(rows, sorted(prose), {lang: sum(k for (_, x), k in units.items() if x == lang) for lang in prose}))
+    model = langid.LanguageModel(sorted(prose), tables[0], tables[1:])
+    docs = documents(spark, rows_of(*texts))
+    for most in (3, 20_000):
+        fitted = langid.fit(spark.createDataFrame(learn, "lang string, text string"), words=most)
+        found = {r.doc_id: r for r in langid.predict(docs, fitted).collect()}
+        assert len(found) == len(texts) and found[0][1:] == found[30][1:]
+        for i, text in enumerate(texts):
+            words = langid._LETTERS.findall(text or "")
+            if not words:
+                assert found[i][1:] == ("und", 0.0)
+                continue
+            at = tables[0].find(langid._hashes(words))
+            logs = np.where((at >= 0)[:, None], tables[0].logs[at], model.unseen(words))
+            odds = np.exp((logs.sum(axis=0) - logs.sum(axis=0).max()) / np.sqrt(len(words)))
+            assert found[i].lang_pred == model.langs[int(odds.argmax())] and found[i].score == pytest.approx(1 / odds.sum(), abs=1e-5)
