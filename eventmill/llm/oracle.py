@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import oracle_turns
+
 #: A word: what stands between spaces, tabs, line feeds, vertical tabs, form feeds and carriage returns.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -154,4 +156,4 @@ FROM whole
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_substring_dedup": _OP1, "op2_quality_rules": _OP2, "op3_warc": _OP3, "op6_decontamination": _OP6, "op8_suffix_dedup": _OP8, "op10_mixing": _OP10,
-    }
+    } | oracle_turns.oracle_sql()

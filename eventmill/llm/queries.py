@@ -10,9 +10,11 @@ from ..session import scratch_path
 from . import langid, toxicity, warc
 from .decontaminate import contaminated
 from .mixing import mix
+from .prefix_trie import borrowed, prefix_trie, sequences
 from .quality_model import classify
 from .quality_rules import quality_rules
 from .simhash import near_duplicates
+from .structure_repair import damaged, repair
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 
@@ -69,8 +71,17 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair(damaged(_table(spark, folder, "conversations")))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(borrowed(sequences(_table(spark, folder, "conversations"))))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_substring_dedup, op2_quality_rules, op3_warc, op4_quality_model, op5_simhash, op6_decontamination,
-        op7_toxicity, op8_suffix_dedup, op9_langid, op10_mixing)
+        op7_toxicity, op8_suffix_dedup, op9_langid, op10_mixing, op11_structure_repair,
+        op12_prefix_trie)
     return {query.__name__: query for query in named}
