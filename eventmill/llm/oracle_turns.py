@@ -115,5 +115,24 @@ FROM nodes JOIN sums ON top = nodes.node LEFT JOIN nodes AS parents ON parents.n
 """
 
 
+_OP13 = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, row_number() OVER () AS n, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS (
+    SELECT * FROM vectors
+    WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.n AS a, b.n AS b FROM usable AS a JOIN usable AS b
+    ON a.n <> b.n AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+reached AS (
+    SELECT n AS a, n AS b FROM vectors
+    UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b),
+least AS (SELECT a AS n, min(vec_id) AS component_id FROM reached JOIN vectors ON vectors.n = reached.b GROUP BY a),
+counts AS (SELECT a AS n, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM vectors JOIN least USING (n) LEFT JOIN counts USING (n)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op11_structure_repair": _OP11, "op12_prefix_trie": _OP12}
+    return {"op11_structure_repair": _OP11, "op12_prefix_trie": _OP12, "op13_embedding_dedup": _OP13}

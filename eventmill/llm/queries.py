@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import langid, toxicity, warc
+from . import embedding_dedup, langid, toxicity, warc
 from .decontaminate import contaminated
 from .mixing import mix
 from .prefix_trie import borrowed, prefix_trie, sequences
@@ -79,9 +79,13 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie(borrowed(sequences(_table(spark, folder, "conversations"))))
 
 
+def op13_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_substring_dedup, op2_quality_rules, op3_warc, op4_quality_model, op5_simhash, op6_decontamination,
         op7_toxicity, op8_suffix_dedup, op9_langid, op10_mixing, op11_structure_repair,
-        op12_prefix_trie)
+        op12_prefix_trie, op13_embedding_dedup)
     return {query.__name__: query for query in named}
