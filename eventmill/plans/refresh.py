@@ -1,237 +1,25 @@
 """Refresh: Bronze files to the Bronze table, the Silver tables and the three marts.
 
-A full refresh rebuilds every layer from the one below; a refresh by days takes new Bronze rows in and
-rebuilds only the days that they touch. Bronze is read once and stored as Parquet, since four later reads
-use few of its columns. The Silver pass runs once: its survivors are stored in one dataset, and the valid
-and the quarantine table are views on it, so neither the parse, the shuffle nor the write is done twice.
-What is stored is the only thing that later steps read, so a lost executor costs its own tasks and no more.
-
-Every table is stored by day, as a version of its own behind a view. A full refresh writes a new version
-beside the old one and then switches the view: readers see the old rows or the new, and a refresh that
-fails leaves the old. The version before the current one stays, for readers still at it. A refresh by days
-overwrites days of the current version; Spark stages them and swaps them in when all are written.
+A full refresh rebuilds every layer from the one below; `refresh_days` takes new Bronze rows in and rebuilds
+only the days that they touch. What is stored is the only thing that later steps read, so a lost executor costs
+its own tasks and no more.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-
-from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.rules import error_message, validation_stage
-from ..operators import funnel, health, promotion, silver
-from ..functions.times import as_day
-from ..schemas import (
-    BRONZE, CAMPAIGN_FUNNEL, PROMOTION_PERFORMANCE, SILVER_INVALID, SILVER_VALID, WORKSPACE_HEALTH,
-)
-from ..session import checkpointed, prepare
+from ..session import prepare
 from ..sources.files import read_bronze
+from .increments import Increment, refresh_days, refresh_marts
+from .lake import DAY, LAYERS, Tables, create_databases, current_version, drop_lake
+from .layers import build_bronze, build_funnel, build_gold, build_health, build_promotion, build_silver
 
-LAYERS = ("bronze", "silver", "gold")
-DAY = "booked_day"
-_VERSION = "__v"
-
-
-@dataclass(frozen=True)
-class Tables:
-    """Table names; `prefix` sets the databases of one lake apart from another's."""
-
-    prefix: str = ""
-    root: str | None = None
-
-    @property
-    def bronze(self) -> str:
-        return f"{self.prefix}bronze.events"
-
-    @property
-    def survivors(self) -> str:
-        return f"{self.prefix}silver.survivors"
-
-    @property
-    def valid(self) -> str:
-        return f"{self.prefix}silver.valid_events"
-
-    @property
-    def invalid(self) -> str:
-        return f"{self.prefix}silver.invalid_events"
-
-    @property
-    def health(self) -> str:
-        return f"{self.prefix}gold.workspace_health_daily"
-
-    @property
-    def promotion(self) -> str:
-        return f"{self.prefix}gold.promotion_performance_daily"
-
-    @property
-    def funnel(self) -> str:
-        return f"{self.prefix}gold.campaign_funnel_daily"
-
-
-def create_databases(spark: SparkSession, tables: Tables) -> None:
-    for layer in LAYERS:
-        place = f" LOCATION '{tables.root}/{layer}'" if tables.root else ""
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {tables.prefix}{layer}{place}")
-
-
-def drop_lake(spark: SparkSession, tables: Tables) -> None:
-    """Remove the databases with all their tables and files."""
-    for layer in LAYERS:
-        spark.sql(f"DROP DATABASE IF EXISTS {tables.prefix}{layer} CASCADE")
-
-
-# Versions
-
-
-def _versions(spark: SparkSession, table: str) -> list[str]:
-    """The stored versions of a table, oldest first."""
-    database, name = table.split(".")
-    found = spark.sql(f"SHOW TABLES IN {database} LIKE '{name}{_VERSION}*'").collect()
-    return sorted(f"{database}.{row.tableName}" for row in found)
-
-
-def current_version(spark: SparkSession, table: str) -> str:
-    """The version that a table's view reads."""
-    described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-    return re.search(rf"{re.escape(table)}{_VERSION}\w+", described["View Text"]).group()
-
-
-def _store(df: DataFrame, table: str, day: str, views: dict[str, str], order: tuple[str, ...] = ()) -> None:
-    """Write a new version, switch the views (name: its SELECT list and filter), drop what is two versions old.
-
-    Rows are dealt out by day first, large days over several tasks, so that a day has few files.
-    """
-    spark = df.sparkSession
-    older = _versions(spark, table)
-    before = current_version(spark, table) if spark.catalog.tableExists(table) else None
-    number = 1 + max((int(re.search(rf"{_VERSION}(\d+)_", name).group(1)) for name in older), default=0)
-    version = f"{table}{_VERSION}{number:06d}_{uuid.uuid4().hex[:8]}"
-    dealt = df.hint("rebalance", day)
-    dealt = dealt.sortWithinPartitions(*order) if order else dealt
-    dealt.write.format("parquet").partitionBy(day).saveAsTable(version)
-    for name, select in views.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select.format(version=version)}")
-    for name in older:
-        if name != before:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-def _overwrite_days(df: DataFrame, table: str, day: str, days: DataFrame, order: tuple[str, ...] = ()) -> None:
-    """Replace the given days of a table's current version; a day that gets no rows is dropped.
-
-    `df` may read the very days that it replaces: they go when all new files are written.
-    """
-    spark = df.sparkSession
-    version = current_version(spark, table)
-    written = df.select(day).distinct()
-    empty = days.join(written, days[DAY].eqNullSafe(written[day]), "left_anti").collect()  # calendar days
-    rows = df.select(*spark.table(version).columns).hint("rebalance", day)
-    rows = rows.sortWithinPartitions(*order) if order else rows
-    rows.write.mode("overwrite").insertInto(version)  # only the days in it, by the session's setting
-    for row in empty:
-        value = "null" if row[0] is None else f"DATE'{row[0]}'"
-        spark.sql(f"ALTER TABLE {version} DROP IF EXISTS PARTITION ({day} = {value})")
-    spark.catalog.refreshTable(version)
-
-
-def _columns(layout: T.StructType, stored_as: dict[str, str] | None = None) -> str:
-    return ", ".join(f"{(stored_as or {}).get(name, name)} AS {name}" for name in layout.names)
-
-
-# Bronze
-
-
-def _booked(rows: DataFrame) -> DataFrame:
-    """Bronze rows with the day they are filed under: of the event, else of receipt."""
-    day = F.coalesce(as_day(F.col("event_time")), as_day(F.col("received_at")))
-    return rows.select(*BRONZE.names).withColumn(DAY, day)
-
-
-def build_bronze(rows: DataFrame, tables: Tables) -> None:
-    _store(_booked(rows), tables.bronze, DAY, {tables.bronze: f"SELECT {_columns(BRONZE)} FROM {{version}}"})
-
-
-# Silver
-
-
-def _stamped(kept: DataFrame) -> DataFrame:
-    """Survivors with what the Silver tables hand out, and their day."""
-    code = F.col("error_code")
-    return kept.withColumns({
-        "error_message": error_message(code),
-        "validation_stage": validation_stage(code),
-        "processed_at": F.current_timestamp(),
-        "outcome": F.when(code.isNull(), "valid").otherwise("invalid"),
-        DAY: F.coalesce(F.col("event_time").cast("date"), F.col("received_at").cast("date")),
-    })
-
-
-def build_silver(spark: SparkSession, tables: Tables) -> None:
-    kept = _stamped(silver.ranked(silver.classify(silver.parse(spark.table(tables.bronze)))))
-    valid = _columns(SILVER_VALID, {"event_date": DAY, "validated_at": "processed_at"})
-    invalid = _columns(SILVER_INVALID, {"event_time": "event_time_text", "detected_at": "processed_at"})
-    _store(kept, tables.survivors, DAY, {
-        tables.survivors: "SELECT * FROM {version}",
-        tables.valid: f"SELECT {valid} FROM {{version}} WHERE outcome = 'valid'",
-        tables.invalid: f"SELECT {invalid} FROM {{version}} WHERE outcome = 'invalid'",
-    }, order=("outcome",))
-
-
-# Gold
-
-#: Mart files are ordered by workspace, so that a list for one workspace skips most of a day.
-_MART_ORDER = ("sdk_key",)
-
-
-def _health(spark: SparkSession, tables: Tables, of: Column | None = None) -> DataFrame:
-    bronze = spark.table(current_version(spark, tables.bronze))
-    kept = spark.table(tables.survivors)
-    return health.workspace_health(*(rows if of is None else rows.filter(of) for rows in (bronze, kept)))
-
-
-def _valid(spark: SparkSession, tables: Tables, of: Column | None) -> DataFrame:
-    kept = spark.table(tables.survivors)
-    rows = (kept if of is None else kept.filter(of)).filter("outcome = 'valid'")
-    return rows.selectExpr(*(f"{name} AS {name}" for name in rows.columns if name != DAY), f"{DAY} AS event_date")
-
-
-def _promotion(spark: SparkSession, tables: Tables, of: Column | None = None) -> DataFrame:
-    return promotion.promotion_performance(promotion.promotion_rollup(_valid(spark, tables, of)))
-
-
-def _funnel(spark: SparkSession, tables: Tables, of: Column | None = None) -> DataFrame:
-    return funnel.campaign_funnel(_valid(spark, tables, of))
-
-
-def _build_mart(mart: DataFrame, table: str, layout: T.StructType) -> None:
-    _store(mart, table, "event_date", {table: f"SELECT {_columns(layout)} FROM {{version}}"}, _MART_ORDER)
-
-
-def build_health(spark: SparkSession, tables: Tables) -> None:
-    _build_mart(_health(spark, tables), tables.health, WORKSPACE_HEALTH)
-
-
-def build_promotion(spark: SparkSession, tables: Tables) -> None:
-    _build_mart(_promotion(spark, tables), tables.promotion, PROMOTION_PERFORMANCE)
-
-
-def build_funnel(spark: SparkSession, tables: Tables) -> None:
-    _build_mart(_funnel(spark, tables), tables.funnel, CAMPAIGN_FUNNEL)
-
-
-def _together(spark: SparkSession, *actions) -> None:
-    """The marts do not depend on each other; run together, one fills another's idle tail."""
-    with ThreadPoolExecutor(len(actions)) as pool:
-        for running in [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]:
-            running.result()
-
-
-def build_gold(spark: SparkSession, tables: Tables) -> None:
-    _together(spark, *(lambda build=build: build(spark, tables) for build in (build_health, build_promotion, build_funnel)))
+__all__ = [
+    "DAY", "LAYERS", "Increment", "Tables", "build_bronze", "build_funnel", "build_gold", "build_health",
+    "build_promotion", "build_silver", "create_databases", "current_version", "drop_lake", "refresh", "refresh_days",
+    "refresh_marts",
+]
 
 
 def refresh(
@@ -242,54 +30,17 @@ def refresh(
     bronze_rows: DataFrame | None = None,
     layers: tuple[str, ...] = LAYERS,
 ) -> Tables:
-    """Rebuild the given layers, in order, from the two Bronze drops (or given Bronze rows)."""
+    """Rebuild the given layers, in order, from the two Bronze drops (or given Bronze rows).
+
+    A rebuilt Bronze starts a new ledger of increments: what its rows hold must not be handed in again.
+    """
+    prepare(spark)
     create_databases(spark, tables)
     if "bronze" in layers:
         build_bronze(read_bronze(spark, direct, stream) if bronze_rows is None else bronze_rows, tables)
+        spark.sql(f"DROP TABLE IF EXISTS {tables.increments}")
     if "silver" in layers:
         build_silver(spark, tables)
     if "gold" in layers:
         build_gold(spark, tables)
     return tables
-
-
-def _among(days: list) -> Column:
-    """Whether a row's day is one of these; an absent day may be among them."""
-    known = [day for day in days if day is not None]
-    inside = F.col(DAY).isin(known) if known else F.lit(False)
-    return (inside | F.col(DAY).isNull()) if None in days else inside
-
-
-def refresh_days(spark: SparkSession, tables: Tables, new_rows: DataFrame) -> list:
-    """Take new Bronze rows in, and rebuild the days that they touch; returns those days.
-
-    A copy of a known event may come late, and on another day than the survivor it replaces. So new rows
-    compete with the survivors that share their event ids, wherever those are filed; the days of both,
-    before and after, are rewritten, and no others. Should a run fail half-way, the same rows are handed
-    in again: Bronze then has them twice, as it has copies anyway, and Silver is the same.
-    """
-    prepare(spark)
-    new = checkpointed(_booked(new_rows))
-    bronze = current_version(spark, tables.bronze)
-    new.select(*spark.table(bronze).columns).hint("rebalance", DAY).write.mode("append").insertInto(bronze)
-    spark.catalog.refreshTable(bronze)
-
-    kept = spark.table(current_version(spark, tables.survivors))
-    fresh = silver.classify(silver.parse(new))
-    ids = fresh.select("event_id").filter("trim(coalesce(event_id, '')) <> ''").distinct()
-    rivals = kept.join(ids, "event_id", "left_semi")
-    winners = silver.ranked(fresh.unionByName(rivals.select(*fresh.columns)))
-    winners = checkpointed(_stamped(winners).select(*kept.columns))
-    silver_days = checkpointed(rivals.select(DAY).union(winners.select(DAY)).distinct())
-    all_days = checkpointed(silver_days.union(new.select(DAY)).distinct())
-    days = [row[0] for row in silver_days.collect()]  # calendar days
-    others = kept.filter(_among(days)).join(ids, "event_id", "left_anti")
-    _overwrite_days(others.unionByName(winners), tables.survivors, DAY, silver_days, ("outcome",))
-
-    touched = [row[0] for row in all_days.collect()]
-    marts = ((_health, tables.health), (_promotion, tables.promotion), (_funnel, tables.funnel))
-    _together(spark, *(
-        lambda mart=mart, table=table: _overwrite_days(
-            checkpointed(mart(spark, tables, _among(touched))), table, "event_date", all_days, _MART_ORDER)
-        for mart, table in marts))
-    return touched
