@@ -21,7 +21,8 @@ from ..streaming.consume import Folders, consume
 from ..streaming.deliver import deliver_new_files
 from ..streaming.export import export_new_files
 from ..streaming.sinks import MAX_FILES_PER_BATCH
-from .refresh import Tables, drop_lake, refresh
+from ..streaming.lake import read_bronze_stream, stream_into_lake
+from .refresh import Tables, drop_lake, refresh, refresh_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +75,18 @@ def _funnel_mart(events: DataFrame) -> DataFrame:
     return funnel.funnel_of(checkpointed(funnel.campaign_events(_valid(events))))
 
 
+def _new_lake(spark: SparkSession) -> Tables:
+    root = scratch_path(spark, "lake")
+    return Tables(prefix=f"lake_{root[-8:]}_", root=root)
+
+
+def _taken_from(tables: Tables, rows: DataFrame) -> DataFrame:
+    """Rows of a lake of its own, stored apart before the lake goes."""
+    found = checkpointed(rows)
+    drop_lake(rows.sparkSession, tables)
+    return found
+
+
 # Bronze
 
 
@@ -234,12 +247,9 @@ def delivery_run_bronze(events: DataFrame) -> DataFrame:
 def serve_stored_health(events: DataFrame) -> DataFrame:
     """One workspace's list from the stored mart of a refreshed lake; only its newest days are read."""
     spark = events.sparkSession
-    root = scratch_path(spark, "lake")
-    tables = refresh(spark, Tables(prefix=f"lake_{root[-8:]}_", root=root), bronze_rows=derived.bronze_rows(events))
+    tables = refresh(spark, _new_lake(spark), bronze_rows=derived.bronze_rows(events))
     recent = spark.table(tables.health).filter("event_date >= DATE'2024-01-20'")
-    listed = checkpointed(serve.health_rows(recent, SERVED_KEY))
-    drop_lake(spark, tables)
-    return listed
+    return _taken_from(tables, serve.health_rows(recent, SERVED_KEY))
 
 
 @_query
@@ -542,10 +552,37 @@ def ua_enrichment(events: DataFrame) -> DataFrame:
 def refresh_roundtrip(events: DataFrame) -> DataFrame:
     """A full refresh into tables of their own, and how many rows each table holds."""
     spark = events.sparkSession
-    root = scratch_path(spark, "lake")
-    tables = Tables(prefix=f"lake_{root[-8:]}_", root=root)
-    refresh(spark, tables, bronze_rows=derived.bronze_rows(events))
+    tables = refresh(spark, _new_lake(spark), bronze_rows=derived.bronze_rows(events))
     names = ("bronze", "valid", "invalid", "health", "promotion", "funnel")
     counts = [(name, spark.table(getattr(tables, name)).count()) for name in names]
     drop_lake(spark, tables)
     return spark.createDataFrame(counts, "table_name string, cnt bigint")
+
+
+@_query
+def refresh_days_repeated(events: DataFrame) -> DataFrame:
+    """Seven tenths of the events refreshed, the rest taken in as increments, each handed in twice: the health mart."""
+    spark = events.sparkSession
+    tables = _new_lake(spark)
+    tenth = F.col("event_id") % 10
+    parts = [derived.bronze_rows(events.filter(of)) for of in (tenth < 7, tenth.between(7, 8), tenth > 8)]
+    refresh(spark, tables, bronze_rows=parts[0])
+    for part in parts[1:]:
+        for _ in range(2):
+            refresh_days(spark, tables, part)
+    return _taken_from(tables, spark.table(tables.health).drop("last_updated_at"))
+
+
+@_query
+def silver_stream(events: DataFrame) -> DataFrame:
+    """Bronze files streamed into the lake in three runs, copies of an event in different ones: both Silver tables."""
+    spark = events.sparkSession
+    tables, base = _new_lake(spark), scratch_path(spark, "arrivals")
+    refresh(spark, tables, bronze_rows=derived.bronze_rows(events.filter("false")), layers=("bronze", "silver"))
+    for run in range(3):
+        derived.bronze_rows(events.filter(F.col("event_id") % 3 == run)).write.mode("append").json(f"{base}/in")
+        stream_into_lake(
+            read_bronze_stream(spark, f"{base}/in"), tables, f"{base}/progress", available_now=True).awaitTermination()
+    shown = ("sdk_key", "event_id", "event_type", "session_id", "page_url", "ingestion_source", "source_file", "loaded_at")
+    valid = spark.table(tables.valid).select(*shown, F.lit(None).cast("string").alias("error_code"))
+    return _taken_from(tables, valid.union(spark.table(tables.invalid).select(*shown, "error_code")))
