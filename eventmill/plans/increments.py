@@ -127,8 +127,7 @@ def _settle(spark: SparkSession, tables: Tables, ledger: Ledger, entry: Row) ->
     new = spark.table(f"{tables.bronze}{_NEW}{entry.place}")
     kept = spark.table(current_version(spark, tables.survivors))
     fresh = silver.classify(silver.parse(new))
-    ids = checkpointed(fresh.select("event_id").filter(has_text(F.trim("event_id"))).distinct().withColumn(
-        "part", layers.index_part(F.col("event_id"))))
+    ids = checkpointed(fresh.select("event_id").filter(has_text(F.trim("event_id"))).distinct().withColumn("part", layers.index_part(tables)))
     known = rivals(spark, tables, ids)
     winners = silver.ranked(fresh.unionByName(known.select(*fresh.columns)))
     winners = checkpointed(layers.stamped(winners).select(*kept.columns))
@@ -146,7 +145,7 @@ def _commit(spark: SparkSession, tables: Tables, ledger: Ledger, entry: Row) ->
     settled = spark.table(f"{tables.survivors}{_SETTLED}{entry.place}")
     overwrite_parts(new, current_version(spark, tables.bronze), DAY)
     overwrite_days(settled, current_version(spark, tables.survivors), DAY, entry.days, ("outcome",))
-    index = layers.index_rows(settled.filter("won"), entry.load_id)
+    index = layers.index_rows(tables, settled.filter("won"), entry.load_id)
     overwrite_parts(index, current_version(spark, tables.event_days), "part", ("event_id",))
     return ledger.record(entry, COMMITTED)
 

@@ -25,10 +25,15 @@ _VERSION = "__v"
 
 @dataclass(frozen=True)
 class Tables:
-    """Table names; `prefix` sets the databases of one lake apart from another's."""
+    """Table names; `prefix` sets the databases of one lake apart from another's.
+
+    `index_parts`: into how many parts the event index is cut. An increment reads and writes those that its
+    event ids fall into, so a part should be a few files: some 32 for each TB of events.
+    """
 
     prefix: str = ""
     root: str | None = None
+    index_parts: int = 32
 
     @property
     def bronze(self) -> str:

@@ -34,9 +34,6 @@ def build_bronze(rows: DataFrame, tables: Tables) -> None:
 
 # Silver
 
-#: Parts of the event index. An increment reads and writes those that its event ids fall into.
-INDEX_PARTS = 256
-
 
 def stamped(kept: DataFrame) -> DataFrame:
     """Survivors with what the Silver tables hand out, and their day."""
@@ -50,20 +47,20 @@ def stamped(kept: DataFrame) -> DataFrame:
     })
 
 
-def index_part(event_id: Column) -> Column:
-    return F.pmod(F.xxhash64(event_id), F.lit(INDEX_PARTS)).cast("int")
+def index_part(tables: Tables) -> Column:
+    return F.pmod(F.xxhash64("event_id"), F.lit(tables.index_parts)).cast("int")
 
 
-def index_rows(kept: DataFrame, load: str) -> DataFrame:
+def index_rows(tables: Tables, kept: DataFrame, load: str) -> DataFrame:
     """Where each event id is kept: its day, filed by the increment that brought it there and a hash."""
     known = kept.filter(has_text(F.trim("event_id")))
-    return known.select("event_id", DAY, F.lit(load).alias(LOAD), index_part(F.col("event_id")).alias("part"))
+    return known.select("event_id", DAY, F.lit(load).alias(LOAD), index_part(tables).alias("part"))
 
 
 def build_silver(spark: SparkSession, tables: Tables) -> None:
     kept = stamped(silver.ranked(silver.classify(silver.parse(spark.table(tables.bronze)))))
     version = write_version(kept, tables.survivors, (DAY,), ("outcome",))
-    index = write_version(index_rows(spark.table(version), WHOLE), tables.event_days, ("part", LOAD), ("event_id",))
+    index = write_version(index_rows(tables, spark.table(version), WHOLE), tables.event_days, ("part", LOAD), ("event_id",))
     valid = columns_of(SILVER_VALID, {"event_date": DAY, "validated_at": "processed_at"})
     invalid = columns_of(SILVER_INVALID, {"event_time": "event_time_text", "detected_at": "processed_at"})
     publish(spark, tables.survivors, version, {

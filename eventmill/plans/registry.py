@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.device import browser_name, device_type, os_name
 from ..functions.text import has_text, is_blank
-from ..operators import census, funnel, health, ingest, promotion, serve, silver
+from ..operators import census, funnel, health, ingest, lineage, promotion, serve, sessions, silver
 from ..session import checkpointed, prepare, scratch_path
 from ..schemas import MESSAGE
 from ..sources import derived, files
+from ..streaming.best_copy import keep_best_copies, read_best_copies
 from ..streaming.consume import Folders, consume
 from ..streaming.deliver import deliver_new_files
 from ..streaming.export import export_new_files
@@ -75,6 +76,12 @@ def _funnel_mart(events: DataFrame) -> DataFrame:
     return funnel.funnel_of(checkpointed(funnel.campaign_events(_valid(events))))
 
 
+#: What the streams' results are compared by.
+_SURVIVOR = (
+    "sdk_key", "event_id", "event_type", "session_id", "page_url", "ingestion_source", "source_file", "loaded_at", "error_code",
+)
+
+
 def _new_lake(spark: SparkSession) -> Tables:
     root = scratch_path(spark, "lake")
     return Tables(prefix=f"lake_{root[-8:]}_", root=root)
@@ -108,6 +115,13 @@ def bronze_source_census(events: DataFrame) -> DataFrame:
     return census.by_source(derived.bronze_rows(events))
 
 
+@_query
+def offset_audit(events: DataFrame) -> DataFrame:
+    """Topic offsets that no Bronze row speaks of, and messages that two batches took in; some are replayed here."""
+    replay = derived.bronze_rows(events.filter("event_id % 100 = 3")).withColumn("export_batch_id", F.lit("kafka_bronze_replay"))
+    return lineage.offset_audit(checkpointed(lineage.offsets(derived.bronze_rows(events).union(replay))), block=1000)
+
+
 @_query
 def bronze_row_count(events: DataFrame) -> DataFrame:
     return census.row_count(derived.bronze_rows(events))
@@ -353,6 +367,17 @@ def health_valid_sessions(events: DataFrame) -> DataFrame:
     return health.valid_counts(health.event_counts(_survivors(events)))
 
 
+@_query
+def sessions_over_days(events: DataFrame) -> DataFrame:
+    """Distinct sessions of all days from stored daily sketches, against the exact count: within two percent of it."""
+    valid = checkpointed(_valid(events).select("event_date", "sdk_key", "session_id"))
+    daily = checkpointed(sessions.session_sketches(valid))
+    counted = sessions.session_counts(sessions.merged(daily, "sdk_key")).withColumnRenamed("sessions", "estimate")
+    exact = valid.groupBy("sdk_key").agg(F.count_distinct("session_id").alias("exact_sessions"))
+    close = F.abs(F.col("estimate") - F.col("exact_sessions")) <= 0.02 * F.col("exact_sessions")
+    return exact.join(counted, "sdk_key").select("sdk_key", "exact_sessions", "events", close.alias("within_two_percent"))
+
+
 @_query
 def health_invalid_agg(events: DataFrame) -> DataFrame:
     return health.invalid_counts(health.event_counts(_survivors(events)))
@@ -583,6 +608,15 @@ def silver_stream(events: DataFrame) -> DataFrame:
         derived.bronze_rows(events.filter(F.col("event_id") % 3 == run)).write.mode("append").json(f"{base}/in")
         stream_into_lake(
             read_bronze_stream(spark, f"{base}/in"), tables, f"{base}/progress", available_now=True).awaitTermination()
-    shown = ("sdk_key", "event_id", "event_type", "session_id", "page_url", "ingestion_source", "source_file", "loaded_at")
-    valid = spark.table(tables.valid).select(*shown, F.lit(None).cast("string").alias("error_code"))
-    return _taken_from(tables, valid.union(spark.table(tables.invalid).select(*shown, "error_code")))
+    valid = spark.table(tables.valid).withColumn("error_code", F.lit(None).cast("string"))
+    return _taken_from(tables, valid.select(*_SURVIVOR).union(spark.table(tables.invalid).select(*_SURVIVOR)))
+
+
+@_query
+def best_copy_stream(events: DataFrame) -> DataFrame:
+    """Bronze files streamed in three runs through the state that keeps each event's best copy: all survivors."""
+    spark, base = events.sparkSession, scratch_path(events.sparkSession, "copies")
+    for run in range(3):
+        derived.bronze_rows(events.filter(F.col("event_id") % 3 == run)).write.mode("append").json(f"{base}/in")
+        keep_best_copies(read_bronze_stream(spark, f"{base}/in"), f"{base}/out", f"{base}/state").awaitTermination()
+    return read_best_copies(spark, f"{base}/out").select(*_SURVIVOR)

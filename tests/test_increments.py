@@ -145,7 +145,7 @@ def test_rows_that_cannot_be_read_begin_nothing(spark, bronze):
 def test_rivals_are_read_from_the_days_that_hold_them(spark, bronze):
     tables = lake(spark, "index")
     refresh(spark, tables, bronze_rows=bronze(*(at(d) for d in range(1, 20)), at(7, event_id=None), at(8, event_id=" ")))
-    ids = spark.createDataFrame([("e3",), ("e11",), ("unknown",)], "event_id string").withColumn("part", index_part(F.col("event_id")))
+    ids = spark.createDataFrame([("e3",), ("e11",), ("unknown",)], "event_id string").withColumn("part", index_part(tables))
     assert {d.day for d in holding_days(spark, tables, ids)} == {3, 11}
     read = rivals(spark, tables, ids)
     assert {f.split("booked_day=")[1][:10] for f in read.inputFiles()} == {"2026-04-03", "2026-04-11"}
@@ -160,7 +160,7 @@ def test_the_index_follows_an_event_to_its_new_day(spark, bronze):
     refresh(spark, tables, bronze_rows=bronze(at(1, event_id="m"), at(2)))
     for day in (4, 6):
         refresh_days(spark, tables, bronze(at(day, event_id="m", loaded_at=f"2026-05-{day:02d}T00:00:00Z")), gold=False)
-    ids = spark.createDataFrame([("m",)], "event_id string").withColumn("part", index_part(F.col("event_id")))
+    ids = spark.createDataFrame([("m",)], "event_id string").withColumn("part", index_part(tables))
     assert {d.day for d in holding_days(spark, tables, ids)} == {1, 4, 6}
     assert [r.event_date.day for r in spark.table(tables.valid).filter("event_id = 'm'").collect()] == [6]
 
