@@ -160,11 +160,11 @@ def refresh_marts(spark: SparkSession, tables: Tables) -> list:
     stale = ledger.at(COMMITTED)
     days = sorted({day for entry in stale for day in entry.days}, key=str)
     if days:
-        marts = ((layers.health_mart, tables.health), (layers.promotion_mart, tables.promotion), (layers.funnel_mart, tables.funnel))
         together(spark, *(
-            lambda mart=mart, table=table: overwrite_days(
-                checkpointed(mart(spark, tables, among(days))), current_version(spark, table), layers.MART_DAY, days, layers.MART_ORDER)
-            for mart, table in marts))
+            lambda name=name, mart=mart: overwrite_days(
+                checkpointed(mart(spark, tables, among(days))), current_version(spark, getattr(tables, name)),
+                layers.MART_DAY, days, layers.MART_ORDER)
+            for name, (mart, _) in layers.MARTS.items()))
     for entry in stale:
         ledger.record(entry, REPORTED)
     return days

@@ -43,6 +43,10 @@ class Tables:
     def increments(self) -> str:
         return f"{self.prefix}bronze.increments"
 
+    @property
+    def runs(self) -> str:
+        return f"{self.prefix}bronze.runs"
+
     @property
     def survivors(self) -> str:
         return f"{self.prefix}silver.survivors"

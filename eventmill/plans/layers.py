@@ -16,6 +16,7 @@ from ..operators import funnel, health, promotion, silver
 from ..schemas import (
     BRONZE, CAMPAIGN_FUNNEL, PROMOTION_PERFORMANCE, SILVER_INVALID, SILVER_VALID, WORKSPACE_HEALTH,
 )
+from . import audit
 from .lake import DAY, LOAD, WHOLE, Tables, columns_of, current_version, publish, together, write_version
 
 # Bronze
@@ -28,8 +29,10 @@ def booked(rows: DataFrame) -> DataFrame:
 
 
 def build_bronze(rows: DataFrame, tables: Tables) -> None:
-    version = write_version(booked(rows).withColumn(LOAD, F.lit(WHOLE)), tables.bronze, (DAY, LOAD))
-    publish(rows.sparkSession, tables.bronze, version, {tables.bronze: f"SELECT {columns_of(BRONZE)} FROM {{version}}"})
+    spark, counts = rows.sparkSession, audit.Counts(booked(rows).withColumn(LOAD, F.lit(WHOLE)))
+    version = write_version(counts.rows, tables.bronze, (DAY, LOAD))
+    audit.record(spark, tables, "bronze", version, counts)
+    publish(spark, tables.bronze, version, {tables.bronze: f"SELECT {columns_of(BRONZE)} FROM {{version}}"})
 
 
 # Silver
@@ -58,8 +61,9 @@ def index_rows(tables: Tables, kept: DataFrame, load: str) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, tables: Tables) -> None:
-    kept = stamped(silver.ranked(silver.classify(silver.parse(spark.table(tables.bronze)))))
-    version = write_version(kept, tables.survivors, (DAY,), ("outcome",))
+    counts = audit.Counts(stamped(silver.ranked(silver.classify(silver.parse(spark.table(tables.bronze))))))
+    version = write_version(counts.rows, tables.survivors, (DAY,), ("outcome",))
+    audit.record(spark, tables, "silver", version, counts)
     index = write_version(index_rows(tables, spark.table(version), WHOLE), tables.event_days, ("part", LOAD), ("event_id",))
     valid = columns_of(SILVER_VALID, {"event_date": DAY, "validated_at": "processed_at"})
     invalid = columns_of(SILVER_INVALID, {"event_time": "event_time_text", "detected_at": "processed_at"})
@@ -98,25 +102,46 @@ def funnel_mart(spark: SparkSession, tables: Tables, of: Column | None = None) -
     return funnel.campaign_funnel(_valid(spark, tables, of))
 
 
-def publish_mart(spark: SparkSession, table: str, version: str, layout: T.StructType) -> None:
-    publish(spark, table, version, {table: f"SELECT {columns_of(layout)} FROM {{version}}"})
+MARTS = {
+    "health": (health_mart, WORKSPACE_HEALTH),
+    "promotion": (promotion_mart, PROMOTION_PERFORMANCE),
+    "funnel": (funnel_mart, CAMPAIGN_FUNNEL),
+}
 
 
-def _build_mart(mart: DataFrame, table: str, layout: T.StructType) -> None:
-    publish_mart(mart.sparkSession, table, write_version(mart, table, (MART_DAY,), MART_ORDER), layout)
+def write_mart(spark: SparkSession, tables: Tables, name: str) -> str:
+    """A new version of a mart, which no view reads yet."""
+    return write_version(MARTS[name][0](spark, tables), getattr(tables, name), (MART_DAY,), MART_ORDER)
+
+
+def publish_mart(spark: SparkSession, tables: Tables, name: str, version: str) -> None:
+    table = getattr(tables, name)
+    publish(spark, table, version, {table: f"SELECT {columns_of(MARTS[name][1])} FROM {{version}}"})
 
 
 def build_health(spark: SparkSession, tables: Tables) -> None:
-    _build_mart(health_mart(spark, tables), tables.health, WORKSPACE_HEALTH)
+    publish_mart(spark, tables, "health", write_mart(spark, tables, "health"))
 
 
 def build_promotion(spark: SparkSession, tables: Tables) -> None:
-    _build_mart(promotion_mart(spark, tables), tables.promotion, PROMOTION_PERFORMANCE)
+    publish_mart(spark, tables, "promotion", write_mart(spark, tables, "promotion"))
 
 
 def build_funnel(spark: SparkSession, tables: Tables) -> None:
-    _build_mart(funnel_mart(spark, tables), tables.funnel, CAMPAIGN_FUNNEL)
+    publish_mart(spark, tables, "funnel", write_mart(spark, tables, "funnel"))
+
+
+def write_gold(spark: SparkSession, tables: Tables) -> dict[str, str]:
+    """New versions of all marts, by name."""
+    versions: dict[str, str] = {}
+    together(spark, *(lambda name=name: versions.update({name: write_mart(spark, tables, name)}) for name in MARTS))
+    return versions
 
 
-def build_gold(spark: SparkSession, tables: Tables) -> None:
-    together(spark, *(lambda build=build: build(spark, tables) for build in (build_health, build_promotion, build_funnel)))
+def build_gold(spark: SparkSession, tables: Tables, audited: bool = False, allowed: tuple[str, ...] = ()) -> None:
+    """Write all marts, then show them; if they are audited, only once none has a finding but the allowed ones."""
+    versions = write_gold(spark, tables)
+    if audited:
+        audit.require_clean(spark, tables, versions, allowed)
+    for name, version in versions.items():
+        publish_mart(spark, tables, name, version)

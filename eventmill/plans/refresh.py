@@ -29,10 +29,13 @@ def refresh(
     stream: str | None = None,
     bronze_rows: DataFrame | None = None,
     layers: tuple[str, ...] = LAYERS,
+    audited: bool = False,
+    allowed: tuple[str, ...] = (),
 ) -> Tables:
     """Rebuild the given layers, in order, from the two Bronze drops (or given Bronze rows).
 
-    A rebuilt Bronze starts a new ledger of increments: what its rows hold must not be handed in again.
+    `audited`: the marts show only if `audit.findings` has nothing against them but the `allowed` checks; else
+    it fails, and readers keep the marts they had. A rebuilt Bronze starts a new ledger of increments: what its rows hold must not be handed in again.
     """
     prepare(spark)
     create_databases(spark, tables)
@@ -42,5 +45,5 @@ def refresh(
     if "silver" in layers:
         build_silver(spark, tables)
     if "gold" in layers:
-        build_gold(spark, tables)
+        build_gold(spark, tables, audited, allowed)
     return tables

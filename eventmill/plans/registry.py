@@ -23,6 +23,8 @@ from ..streaming.deliver import deliver_new_files
 from ..streaming.export import export_new_files
 from ..streaming.sinks import MAX_FILES_PER_BATCH
 from ..streaming.lake import read_bronze_stream, stream_into_lake
+from . import audit
+from .layers import write_gold
 from .refresh import Tables, drop_lake, refresh, refresh_days
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -620,3 +622,20 @@ def best_copy_stream(events: DataFrame) -> DataFrame:
         derived.bronze_rows(events.filter(F.col("event_id") % 3 == run)).write.mode("append").json(f"{base}/in")
         keep_best_copies(read_bronze_stream(spark, f"{base}/in"), f"{base}/out", f"{base}/state").awaitTermination()
     return read_best_copies(spark, f"{base}/out").select(*_SURVIVOR)
+
+
+@_query
+def refresh_observed_counts(events: DataFrame) -> DataFrame:
+    """Rows by layer, source and error code, as counted while a refresh wrote them."""
+    spark = events.sparkSession
+    tables = refresh(spark, _new_lake(spark), bronze_rows=derived.bronze_rows(events), layers=("bronze", "silver"))
+    layers = (audit.observed(spark, tables, name).withColumn("layer", F.lit(name)) for name in ("bronze", "silver"))
+    return _taken_from(tables, reduce(DataFrame.unionByName, layers))
+
+
+@_query
+def audit_findings(events: DataFrame) -> DataFrame:
+    """What the audit has against mart versions that are written but not shown."""
+    spark = events.sparkSession
+    tables = refresh(spark, _new_lake(spark), bronze_rows=derived.bronze_rows(events), layers=("bronze", "silver"))
+    return _taken_from(tables, audit.findings(spark, tables, write_gold(spark, tables)))
