@@ -27,20 +27,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import arrow
-from .hashing import BASES, Rolling, mix
 from .labels import held_out, remainder
 from .workspace import ship
 from ..session import scratch_path
 
 #: Words that tasks hold; the longest sequence; what a log is multiplied by before it is rounded.
-WORDS, LONGEST, SCALE = 20_000, 4, 1 << 24
+WORDS, LONGEST, SCALE = 200_000, 4, 1 << 24
 SMOOTHING = 0.5
 UNDETERMINED = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_NEAR_LETTERS = re.compile(r"[^\W\d_]+")
 #: Words of a language at which a task hands on its counts; and languages.
 _MOST_HELD, _MOST_LANGS = 300_000, 16
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters, lower-cased. The pattern also takes numerals such as a half; these are cut out."""
+    found = _NEAR_LETTERS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [part for word in found for part in "".join(c if c.isalpha() else " " for c in word).split()]
+
+
 def word_counts(documents: DataFrame) -> DataFrame:
     """(lang, word, n) over all rows of (lang, text)."""
     ship(documents.sparkSession)
@@ -56,7 +63,7 @@ def word_counts(documents: DataFrame) -> DataFrame:
 
         for rows in batches:
             for lang, text in zip(rows.column("lang").to_pylist(), rows.column("text").to_pylist()):
-                held[lang].update(_LETTERS.findall(text.lower()))
+                held[lang].update(words_of(text))
                 if len(held[lang]) > _MOST_HELD:
                     yield settle(lang)
             while len(held) > _MOST_LANGS:
@@ -68,71 +75,6 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return counted.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _hashes(units: list[str]) -> np.ndarray:
-    """Of each string, the hash of its code points."""
-    points = np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    sizes = np.array([len(u) for u in units], dtype=np.int64)
-    ends = np.cumsum(sizes)
-    return Rolling(mix(points + np.uint64(1)), BASES[0]).of(ends - sizes, ends)
-
-
-@dataclass
-class _Table:
-    """Hashes of known strings, ascending, and their log frequency in each language; the last row: unseen."""
-
-    hashes: np.ndarray
-    logs: np.ndarray
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Each hash's row, or -1."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
-
-
-def _table(rows: list, langs: list[str], totals: dict[str, int]) -> _Table:
-    units = sorted({r.unit for r in rows})
-    place = {u: i for i, u in enumerate(units)}
-    counts = np.zeros((len(units) + 1, len(langs)))
-    for r in rows:
-        counts[place[r.unit], langs.index(r.lang)] = r.n
-    total = np.array([totals.get(lang, 0) for lang in langs]) + SMOOTHING * (len(units) + 1)
-    logs = np.log((counts + SMOOTHING) / total)
-    hashes = _hashes(units)
-    order = np.argsort(hashes)
-    return _Table(hashes[order], logs[np.r_[order, len(units)]])
-
-
-@dataclass
-class LanguageModel:
-    """The model as arrays, for counts that fit into memory."""
-
-    langs: list[str]
-    words: _Table
-    sequences: list[_Table]
-
-    def unseen(self, words: list[str]) -> np.ndarray:
-        """Log frequencies of words that are not known, from their letters."""
-        out = np.zeros((len(words), len(self.langs)))
-        if not words:
-            return out
-        points = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-        rolling = Rolling(mix(points + np.uint64(1)), BASES[0])
-        sizes = np.array([len(w) for w in words])
-        owner = np.repeat(np.arange(len(words)), sizes)
-        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))
-        open_ = np.arange(len(points))
-        for n in range(len(self.sequences), 0, -1):
-            table = self.sequences[n - 1]
-            fits = open_[left[open_] >= n]
-            row = table.find(rolling.of(fits, fits + n))
-            hit = (row >= 0) | (n == 1)  # a single letter that is not known: the table's last row
-            np.add.at(out, owner[fits[hit]], table.logs[row[hit]])
-            open_ = np.setdiff1d(open_, fits[hit], assume_unique=True)
-        return out
-
-
 @dataclass
 class Counted:
     """The model as tables of (unit, all, l0, l1, ...): a unit's count, and its log in each language, scaled."""
@@ -181,16 +123,20 @@ def fit(documents: DataFrame, words: int = WORDS) -> Counted:
 
 
 def _backed_off(words: DataFrame, model: Counted) -> DataFrame:
-    """(word, l0, l1, ...) of words that are not known, from their letters."""
+    """(word, l0, l1, ...) of words that are not known, from their letters.
+
+    What a place adds depends on the next few letters alone, its window. So each different window is looked up
+    once, by all its beginnings, and a word's places are joined with the windows: one row a place.
+    """
     names = [f"l{i}" for i in range(len(model.langs))]
-    place = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("at"))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("word") - F.col("at") + 1))
-    units = place.select("word", "at", F.explode(lengths).alias("n")).withColumn("unit", F.substring("word", F.col("at"), F.col("n")))
-    longest = units.join(model.sequences, "unit").groupBy("word", "at").agg(*(F.max_by(x, "n").alias(x) for x in names))
-    summed = longest.groupBy("word").agg(F.count("*").alias("hits"), *(F.sum(x).alias(x) for x in names))
-    missed = F.length("word") - F.coalesce("hits", F.lit(0))
-    return words.join(summed, "word", "left").select(
-        "word", *((F.coalesce(x, F.lit(0)) + missed * F.lit(none)).cast("long").alias(x) for x, none in zip(names, model.unseen)))
+    starts = F.sequence(F.lit(1), F.length("word"))
+    places = words.select("word", F.explode(F.transform(starts, lambda at: F.substring("word", at, F.lit(LONGEST)))).alias("window"))
+    windows = places.select("window").distinct()
+    sizes = F.sequence(F.lit(1), F.length("window"))
+    beginnings = windows.select("window", F.explode(sizes).alias("n")).withColumn("unit", F.substring("window", F.lit(1), F.col("n")))
+    longest = beginnings.join(model.sequences, "unit").groupBy("window").agg(*(F.max_by(x, "n").alias(x) for x in names))
+    read = places.join(longest, "window", "left")
+    return read.groupBy("word").agg(*(F.sum(F.coalesce(x, F.lit(none))).alias(x) for x, none in zip(names, model.unseen)))
 
 
 def predict(documents: DataFrame, model: Counted) -> DataFrame:
@@ -202,16 +148,17 @@ def predict(documents: DataFrame, model: Counted) -> DataFrame:
     if not model.langs:
         return narrow.select("doc_id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     names = [f"l{i}" for i in range(len(model.langs))]
-    top = model.words.orderBy(F.desc("all"), "unit").limit(model.most).collect()
+    top = model.words.orderBy(F.desc("all"), "unit").limit(model.most).select("unit", *names).toArrow()
     shared = spark.sparkContext.broadcast(
-        ({r.unit: i for i, r in enumerate(top)}, np.array([[r[x] for x in names] for r in top], dtype=np.int64).reshape(-1, len(names))))
+        (top.column("unit").to_pylist(), np.stack([top.column(x).to_numpy() for x in names], axis=1)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row_of, logs = shared.value
+        units, logs = shared.value
+        row_of = {unit: i for i, unit in enumerate(units)}
         for rows in batches:
             sizes, sums, rest, times = [], [], [], []
             for text in rows.column("text").to_pylist():
-                counts = Counter(_LETTERS.findall(text.lower())) if text else {}
+                counts = Counter(words_of(text)) if text else {}
                 held = {row_of[w]: n for w, n in counts.items() if w in row_of}
                 others = {w: n for w, n in counts.items() if w not in row_of}
                 sizes.append(sum(counts.values()))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -213,18 +215,54 @@ def test_nothing_to_learn_from(spark):
 
 def test_all_words_are_counted(spark):
     rows = [(i, t, "en", "s", 1) for i, t in enumerate(odd_texts())]
-    want = Counter(w for r in rows for w in langid._LETTERS.findall((r[1] or "").lower()))
+    want = Counter(w for r in rows for w in langid.words_of(r[1] or ""))
     assert {(r.word): r.n for r in langid.word_counts(documents(spark, rows)).collect()} == want
 
 
-def test_unseen_words_fall_back_to_shorter_sequences():
-    rows = [type("R", (), {"unit": u, "lang": lang, "n": n}) for u, lang, n in [("ab", "x", 5), ("b", "y", 7), ("a", "x", 2)]]
-    tables = [langid._table([r for r in rows if len(r.unit) == n], ["x", "y"], {"x": 10, "y": 10}) for n in (1, 2, 3)]
-    model = langid.LanguageModel(["x", "y"], langid._table([], ["x", "y"], {}), tables)
-    one, two = tables[0], tables[1]
-    log = lambda table, unit: table.logs[table.find(langid._hashes([unit]))[0]]
-    assert np.allclose(model.unseen(["abq"])[0], log(two, "ab") + log(one, "b") + one.logs[-1])
-    assert model.unseen([]).shape == (0, 2)
+def test_only_letters_make_words():
+    assert langid.words_of("½ ² ① 12 _ !") == [] and langid.words_of("Ab½cd x² 日本_é") == ["ab", "cd", "x", "日本", "é"]
+
+
+def test_a_text_without_letters_has_no_language(spark):
+    learn = documents(spark, [*ROWS, (20_000, "½ ² ①", None, "s", 5), (20_001, "٣ 12 %", None, "s", 6)])
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(learn).collect()}
+    assert found[20_000] == found[20_001] == ("und", 0.0)
+
+
+def brute_language(learn, texts):
+    """lang_pred and score of each text, by dictionaries: known words, else the longest known sequence at each place."""
+    langs = sorted({lang for lang, _ in learn})
+    counts = [Counter() for _ in range(5)]
+    for lang, text in learn:
+        for word in re.findall("[a-zäß]+", text):
+            counts[0][word, lang] += 1
+            for n in range(1, 5):
+                for at in range(len(word) - n + 1):
+                    counts[n][word[at : at + n], lang] += 1
+    units = [{u for u, _ in c} for c in counts]
+    totals = [{lang: sum(k for (_, x), k in c.items() if x == lang) for lang in langs} for c in counts]
+
+    def log(n, unit, lang):
+        return math.log((counts[n][unit, lang] + 0.5) / (totals[n][lang] + 0.5 * (len(units[n]) + 1)))
+
+    def read(word, lang):
+        if word in units[0]:
+            return log(0, word, lang)
+        sums = 0.0
+        for at in range(len(word)):
+            n = next((n for n in (4, 3, 2, 1) if len(word) - at >= n and word[at : at + n] in units[n]), 1)
+            sums += log(n, word[at : at + n], lang)
+        return sums
+
+    out = []
+    for text in texts:
+        words = re.findall("[a-zäß]+", text or "")
+        if not words:
+            out.append(("und", 0.0))
+            continue
+        scores = [sum(read(word, lang) for word in words) / math.sqrt(len(words)) for lang in langs]
+        out.append((langs[scores.index(max(scores))], 1 / sum(math.exp(x - max(scores)) for x in scores)))
+    return out
 
 
 def test_every_counted_word_and_sequence_is_used(spark):
@@ -234,26 +272,10 @@ def test_every_counted_word_and_sequence_is_used(spark):
     learn = [(lang, " ".join(rng.choices(prose[lang], k=40))) for lang, n in (("xx", 40), ("yy", 10), ("zz", 2)) for _ in range(n)]
     texts = [" ".join([*rng.choices(prose[rng.choice(sorted(prose))], k=9), word() + word(), "qä", "ß"]) for _ in range(30)]
     texts += [texts[0], "", None, "12", "qä"]
-    counts = Counter((w, lang) for lang, text in learn for w in text.split())
-    tables = []
-    for n in range(5):
-        units = Counter()
-        for (w, lang), k in counts.items():
-            units.update({(w, lang): k} if n == 0 else Counter([(w[i : i + n], lang) for i in range(len(w) - n + 1)] * k))
-        rows = [type("R", (), {"unit": u, "lang": lang, "n": k}) for (u, lang), k in units.items()]
-        tables.append(langid._table(rows, sorted(prose), {lang: sum(k for (_, x), k in units.items() if x == lang) for lang in prose}))
-    model = langid.LanguageModel(sorted(prose), tables[0], tables[1:])
     docs = documents(spark, rows_of(*texts))
     for most in (3, 20_000):
         fitted = langid.fit(spark.createDataFrame(learn, "lang string, text string"), words=most)
         found = {r.doc_id: r for r in langid.predict(docs, fitted).collect()}
         assert len(found) == len(texts) and found[0][1:] == found[30][1:]
-        for i, text in enumerate(texts):
-            words = langid._LETTERS.findall(text or "")
-            if not words:
-                assert found[i][1:] == ("und", 0.0)
-                continue
-            at = tables[0].find(langid._hashes(words))
-            logs = np.where((at >= 0)[:, None], tables[0].logs[at], model.unseen(words))
-            odds = np.exp((logs.sum(axis=0) - logs.sum(axis=0).max()) / np.sqrt(len(words)))
-            assert found[i].lang_pred == model.langs[int(odds.argmax())] and found[i].score == pytest.approx(1 / odds.sum(), abs=1e-5)
+        for i, (lang, score) in enumerate(brute_language(learn, texts)):
+            assert found[i].lang_pred == lang and found[i].score == pytest.approx(score, abs=1e-5)
