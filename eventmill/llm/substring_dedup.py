@@ -10,8 +10,8 @@ the windows of one representative each; both by a grouped minimum that is reduce
 A window that no smaller document has is kept, so the plan only carries the windows that are *not* repeats.
 
 Decided cases: a null text has no words. A null doc_id comes after all others. Rows that share an id and
-the text get equal results, and neither repeats the other. Rows that share an id but not the text are one
-document to others. Other columns are ignored, so their names cannot clash. An empty table gives no rows.
+the text get equal results, and neither repeats the other. Rows that share an id, or have none, are rows of
+their own, none of which comes before another: an earlier document's words go from all of them. Other columns are ignored, so their names cannot clash. An empty table gives no rows.
 A task needs memory for some ten arrays as long as the longest text has words.
 """
 
@@ -42,7 +42,8 @@ def _windows(docs: DataFrame, entries: DataFrame, length: int) -> DataFrame:
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            ids, texts, edges = arrow.longs_of(rows, "id"), arrow.bytes_of(rows, "text"), arrow.Lists(rows.column("edges"))
+            ids, orders = arrow.longs_of(rows, "id"), arrow.longs_of(rows, "order")
+            texts, edges = arrow.bytes_of(rows, "text"), arrow.Lists(rows.column("edges"))
             for low, high in groups([len(t) for t in texts]):
                 units, ends = _word_units(texts[low:high])
                 hashes = [Rolling(units, base) for base in BASES]
@@ -60,12 +61,12 @@ def _windows(docs: DataFrame, entries: DataFrame, length: int) -> DataFrame:
                 _, once = np.unique(np.stack([first, (tag >> _TAGGED).astype(np.uint64)]), axis=1, return_index=True) if len(first) else (0, [])
                 row = (tag >> _TAGGED)[once]
                 yield arrow.batch(
-                    first=arrow.signed(first[once]), second=arrow.signed(second[once]), id=ids[row],
+                    first=arrow.signed(first[once]), second=arrow.signed(second[once]), id=ids[row], order=orders[row],
                     spot=(place[once] << _TAGGED) | (tag[once] & ((1 << _TAGGED) - 1)))
 
     # The same columns as in the last join, so that Spark shuffles the texts once for both.
-    joined = docs.join(entries, "id").where("size(edges) > 0").select("doc_id", "id", "text", "alone", "edges")
-    return joined.mapInArrow(windows, "first long, second long, id long, spot long")
+    joined = docs.join(entries, "id").where("size(edges) > 0").select("doc_id", "id", "order", "text", "alone", "edges")
+    return joined.mapInArrow(windows, "first long, second long, id long, order long, spot long")
 
 
 def _cut(joined: DataFrame, length: int) -> DataFrame:
@@ -102,20 +103,34 @@ def _cut(joined: DataFrame, length: int) -> DataFrame:
         cut, "doc_id long, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept_text string")
 
 
+def _firsts(found: DataFrame, least: DataFrame, keys: list[str], twins: DataFrame | None) -> DataFrame:
+    """The first occurrences (id, spot) of each key, and with them those of other rows that share the first's doc_id."""
+    firsts = least.select("id", "spot")
+    if twins is None:
+        return firsts
+    first = least.select(*keys, F.col("least").alias("order"), F.col("id").alias("first_id"))
+    others = found.join(twins, "order", "left_semi").join(first, [*keys, "order"]).where("id <> first_id")
+    return firsts.unionByName(others.select("id", "spot").distinct())
+
+
 def substring_dedup(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed, the removed word spans, and the kept words joined by one space."""
     spark = documents.sparkSession
     docs = seeds.keyed(documents)
-    found = seeds.classes(seeds.occurrences(docs, _word_units, length, gram, apart=True), hot=1)
+    twins = seeds.shared_orders(docs)
+    spots = seeds.occurrences(docs, _word_units, length, gram, apart=True)
+    found = seeds.classes(spots, hot=1, by="order")
     path = scratch_path(spark, "substring-entries")
-    found.groupBy("id").agg(
-        F.collect_list(F.when(F.col("shared") == 0, F.col("spot"))).alias("alone"),
-        F.collect_list(F.when(F.col("shared") > 0, F.col("spot"))).alias("edges"),
+    keys = ["gram", "context"]
+    alone, edges = (_firsts(spots, found.where(of), keys, twins).withColumn("alone", F.lit(i == 0)) for i, of in enumerate(("shared = 0", "shared > 0")))
+    alone.unionByName(edges).groupBy("id").agg(
+        F.collect_list(F.when(F.col("alone"), F.col("spot"))).alias("alone"),
+        F.collect_list(F.when(~F.col("alone"), F.col("spot"))).alias("edges"),
     ).write.parquet(path)
     entries = spark.read.schema("id long, alone array<long>, edges array<long>").parquet(path)
-    firsts = (
-        _windows(docs, entries, length)
-        .groupBy("first", "second").agg(F.min("id").alias("id"), F.min_by("spot", "id").alias("spot"))
-        .groupBy("id").agg(F.collect_list("spot").alias("firsts")))
+    windows = _windows(docs, entries, length)
+    least = windows.groupBy("first", "second").agg(
+        F.min("order").alias("least"), F.min_by("id", "order").alias("id"), F.min_by("spot", "order").alias("spot"))
+    firsts = _firsts(windows, least, ["first", "second"], twins).groupBy("id").agg(F.collect_list("spot").alias("firsts"))
     joined = docs.join(entries, "id", "left").join(firsts, "id", "left")
-    return _cut(joined.select("doc_id", "id", "text", "alone", "edges", "firsts"), length)
+    return _cut(joined.select("doc_id", "id", "order", "text", "alone", "edges", "firsts"), length)

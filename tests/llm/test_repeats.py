@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -91,6 +92,28 @@ def test_rows_that_share_an_id_but_not_the_text(spark):
     assert run_substring(documents(spark, rows)) == brute_substring(rows, 50)
 
 
+def test_many_rows_share_an_id(spark):
+    """Half without an id, half of one id; some repeat each other, some an earlier document."""
+    rng = random.Random(11)
+    passages = [" ".join(str(rng.randrange(10**6)) for _ in range(60)) for _ in range(6)]
+    texts = [f"{rng.random()} {rng.choice(passages)} {rng.choice(passages)} {i % 40}" for i in range(1000)]
+    rows = [(None if i % 2 else 5, t, "en", "s", 1) for i, t in enumerate(texts)] + [(1, passages[0], "en", "s", 1), (9, passages[1] + " x", "en", "s", 1)]
+    docs = documents(spark, rows)
+    assert run_substring(docs) == brute_substring(rows, 50)
+    assert run_suffix(docs) == brute_suffix(rows, 200)
+
+
+def test_checksums_that_clash(spark):
+    """Two texts without an id, equal in the low bits of their CRC-32, one of them repeated under an id."""
+    rng = random.Random(12)
+    text = " ".join(str(rng.randrange(10**6)) for _ in range(60))
+    other = next(t for i in range(10**6) if (zlib.crc32((t := f"{i} " + text[::-1]).encode()) ^ zlib.crc32(text.encode())) & 4095 == 0)
+    rows = [(None, other, "en", "s", 1), (None, text, "en", "s", 1), (1, text, "en", "s", 1)]
+    assert run_substring(documents(spark, rows)) == brute_substring(rows, 50)
+    assert run_suffix(documents(spark, rows)) == brute_suffix(rows, 200)
+    assert [r[2] for r in run_substring(documents(spark, rows)) if r[0] is None] == [0, 60] or [r[2] for r in run_substring(documents(spark, rows)) if r[0] is None] == [60, 0]
+
+
 def test_empty_tables(spark):
     assert run_substring(documents(spark, [])) == []
     assert run_suffix(documents(spark, [])) == []
