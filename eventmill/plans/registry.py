@@ -7,6 +7,7 @@ Results are handed out with dates and times as text and decimals as doubles.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -17,6 +18,7 @@ from ..operators import census, funnel, health, ingest, lineage, promotion, serv
 from ..session import checkpointed, prepare, scratch_path
 from ..schemas import MESSAGE
 from ..sources import derived, files
+from ..sources.manifest import Manifest
 from ..streaming.best_copy import keep_best_copies, read_best_copies
 from ..streaming.consume import Folders, consume
 from ..streaming.deliver import deliver_new_files
@@ -25,7 +27,7 @@ from ..streaming.sinks import MAX_FILES_PER_BATCH
 from ..streaming.lake import read_bronze_stream, stream_into_lake
 from . import audit
 from .layers import write_gold
-from .refresh import Tables, drop_lake, refresh, refresh_days
+from .refresh import Tables, create_databases, drop_lake, refresh, refresh_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -196,6 +198,26 @@ def file_manifest_pending(events: DataFrame) -> DataFrame:
     return files.pending_files(found, processed)
 
 
+@_query
+def manifest_runs(events: DataFrame) -> DataFrame:
+    """Raw files taken in two runs by a manifest, with days closed in between: files by run, root and day."""
+    spark = events.sparkSession
+    tables, base = _new_lake(spark), scratch_path(spark, "manifest")
+    create_databases(spark, tables)
+    manifest = Manifest(spark, f"{tables.prefix}bronze.raw_files")
+    lines = files.with_key_parts(derived.raw_lines(events))
+    taken = []
+    for run, (since, until) in enumerate(((date(2000, 1, 1), date(2024, 1, 10)), (date(2024, 1, 10), date(2024, 12, 31)))):
+        for root in files.ROOT_TAGS:
+            new = lines.filter((F.col("root") == root) & (F.col("day") > F.lit(since)) & (F.col("day") <= F.lit(until)))
+            new.select("line", F.col("day").alias("date")).write.mode("append").partitionBy("date").text(f"{base}/{root}")
+        found = checkpointed(manifest.pending(base, until))
+        manifest.take(found)
+        manifest.close(min(until, date(2024, 1, 8)))
+        taken.append(found.select(F.lit(run).alias("run"), "root", "day").distinct())
+    return _taken_from(tables, reduce(DataFrame.unionByName, taken))
+
+
 @_query
 def delivery_pending(events: DataFrame) -> DataFrame:
     """Bronze batch files not yet delivered."""
