@@ -44,7 +44,7 @@ SAYING = ("said", "says", "say", "wrote", "writes", "called", "claimed", "report
 
 #: Words that a negation reaches; lengths of learned beginnings; the least evidence for one.
 SCOPE, SHORTEST, LONGEST_STEM = 3, 3, 8
-LEAST_TEXTS, MOST_STEMS, MOST_CANDIDATES = 3, 2_000, 20_000
+LEAST_TEXTS = 3
 #: The log ratio of a beginning's share in toxic and in clean texts: of a doubtful one, of a certain one;
 #: and the share of its texts that a longer beginning must keep to stand for it.
 DOUBTFUL_RATIO, CERTAIN_RATIO, KEEPS = 2.5, 5.0, 0.9
@@ -58,6 +58,12 @@ _CLAUSE_END = re.compile(r"[.!?;:,\n\r()]")
 PATTERNS = list(product((INSULT, THREAT, DOUBTFUL), (0, 1), (0, 1), (0, 1)))
 
 
+def beginnings_of(word: str) -> list[str]:
+    """What a word is learned and looked up by: its beginnings of some letters, and all of it if it is longer."""
+    short = [word[:n] for n in range(SHORTEST, min(len(word), LONGEST_STEM) + 1)]
+    return [*short, word] if len(word) > LONGEST_STEM else short
+
+
 @dataclass(frozen=True)
 class Transducer:
     """A start state, moves by (state, symbol), and what each move puts out."""
@@ -134,7 +140,7 @@ class ToxicityModel:
             return REPORT
         if word.startswith(INSULTS):
             return INSULT
-        known = [self.stems[word[:n]] for n in range(SHORTEST, LONGEST_STEM + 1) if word[:n] in self.stems]
+        known = [self.stems[stem] for stem in beginnings_of(word) if stem in self.stems]
         return INSULT if any(known) else DOUBTFUL if known else OTHER
 
     def patterns(self, text: str, lexicon: ahocorasick.Automaton) -> Counter:
@@ -183,7 +189,7 @@ def learn_stems(marked: DataFrame) -> dict[str, bool]:
             for text in rows.column("text").to_pylist():
                 words = _WORD.findall(text.lower())
                 around = zip(["", *words], words, [*words[1:], ""])
-                seen = {(w[:n], f"{a} {b}") for a, w, b in around for n in range(SHORTEST, min(len(w), LONGEST_STEM) + 1)}
+                seen = {(stem, f"{a} {b}") for a, w, b in around for stem in beginnings_of(w)}
                 once: dict[str, str] = {}
                 for stem, neighbours in sorted(seen):
                     once.setdefault(stem, neighbours)
@@ -196,14 +202,14 @@ def learn_stems(marked: DataFrame) -> dict[str, bool]:
         return {}
     found = texts.where("label = 1").select("text").mapInArrow(beginnings, "stem string, around string")
     counted = found.groupBy("stem").agg(F.least(F.count("*"), F.count_distinct("around")).alias("n"))
-    candidates = {r.stem: r.n for r in counted.where(F.col("n") >= LEAST_TEXTS).orderBy(F.desc("n"), "stem").limit(MOST_CANDIDATES).collect()}
+    candidates = {r.stem: r.n for r in counted.where(F.col("n") >= LEAST_TEXTS).collect()}  # of the sample's words
 
     def elsewhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for rows in batches:
             for text in rows.column("text").to_pylist():
                 words = set(_WORD.findall(text.lower()))
-                held.update({w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST_STEM) + 1)} & candidates.keys())
+                held.update({stem for w in words for stem in beginnings_of(w)} & candidates.keys())
         yield arrow.batch(stem=pa.array(list(held), pa.string()), n=pa.array(list(held.values()), pa.int64()))
 
     others = texts.where("label = 0").select("text").mapInArrow(elsewhere, "stem string, n long")
@@ -211,7 +217,7 @@ def learn_stems(marked: DataFrame) -> dict[str, bool]:
     share = toxic / (toxic + clean)
     children: dict[str, list[str]] = {}
     for stem in sorted(candidates):
-        children.setdefault(stem[:-1], []).append(stem)
+        children.setdefault(stem[: min(len(stem) - 1, LONGEST_STEM)], []).append(stem)
 
     def ratio(stem: str) -> float:
         return math.log((candidates[stem] + 0.5) / (toxic + 1)) - math.log((clean_of.get(stem, 0) + 0.5) / (clean + 1))
@@ -234,8 +240,7 @@ def learn_stems(marked: DataFrame) -> dict[str, bool]:
             chosen[stem] = candidates[stem]
         else:
             open_ += longer
-    best = sorted(chosen, key=lambda s: (-chosen[s], s))[:MOST_STEMS]
-    return {stem: ratio(stem) >= CERTAIN_RATIO for stem in best}
+    return {stem: ratio(stem) >= CERTAIN_RATIO for stem in sorted(chosen, key=lambda s: (-chosen[s], s))}
 
 
 def fit_weights(counts: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
