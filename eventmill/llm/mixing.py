@@ -72,12 +72,14 @@ def mix(
     path = scratch_path(spark, "mix-sizes")
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = sized(documents, *carried).withColumn("key", key).withColumn("range", F.substring("key", 1, RANGE_DIGITS))
-    rows.write.parquet(path)
-    docs = spark.read.schema(rows.schema).parquet(path)
-    ranges = docs.groupBy("source_key", "range").agg(F.sum("size").alias("range_size"))
+    narrow = rows.drop("carried")
+    narrow.write.parquet(path)
+    sizes = spark.read.schema(narrow.schema).parquet(path)
+    docs = rows if carried else sizes  # what is only carried is read again instead of being stored
+    ranges = sizes.groupBy("source_key", "range").agg(F.sum("size").alias("range_size"))
     by_range = Window.partitionBy("source_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("start", F.coalesce(F.sum("range_size").over(by_range), F.lit(0))).drop("range_size")
-    ranges = ranges.join(targets(docs, weights, total, epochs), "source_key")
+    ranges = ranges.join(targets(sizes, weights, total, epochs), "source_key")
     within = Window.partitionBy("source_key", "range").orderBy("key", "doc_id", "size")
     before = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
     joined = docs.withColumn("before", before).join(ranges, ["source_key", "range"])
