@@ -96,6 +96,14 @@ def test_sketches_count_over_days_and_merge(spark):
     assert abs(whole.sessions - 20_000) <= 400 and whole.events == 60_000
 
 
+def test_merged_sketches_of_many_sessions_stay_well_within_two_percent(spark):
+    rows = spark.range(1_800_000).select(
+        F.date_add(F.lit("2026-04-01").cast("date"), (F.col("id") / 60 % 3).cast("int")).alias("event_date"),
+        F.format_string("k%d", F.col("id") % 60).alias("sdk_key"), F.format_string("s%d", "id").alias("session_id"))
+    found = sessions.session_counts(sessions.merged(sessions.session_sketches(rows), "sdk_key")).collect()
+    assert len(found) == 60 and max(abs(r.sessions - 30_000) for r in found) <= 450
+
+
 def test_few_sessions_are_counted_exactly(spark, bronze):
     rows = bronze(*({"event_id": f"e{i}", "session_id": f"s{i % 7}"} for i in range(30)))
     valid = silver.valid_events(silver.survivors(rows))
