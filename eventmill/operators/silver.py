@@ -29,10 +29,11 @@ def _column_or_payload(name: str) -> str:
     return f"trim(coalesce({name}, payload.{name}))"
 
 
-def parse(bronze: DataFrame) -> DataFrame:
+def parse(bronze: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """Typed columns from the Bronze text columns and payload; unparseable values are NULL.
 
-    The payload is parsed by one `from_json` per row, however many fields are read.
+    The payload is parsed by one `from_json` per row, however many fields are read. `also`: further expressions
+    over the Bronze columns.
     """
     return bronze.withColumn("payload", F.from_json("raw_event_json", PAYLOAD)).selectExpr(
         "try_cast(received_at AS timestamp) AS received_at",
@@ -54,6 +55,7 @@ def parse(bronze: DataFrame) -> DataFrame:
         # Fingerprint of the whole Bronze row: lets full ties be broken the same way every time
         # without shuffling the payload text of queries that do not ask for it.
         f"xxhash64({', '.join(BRONZE.names)}) AS row_fingerprint",
+        *also,
     )
 
 

@@ -53,6 +53,35 @@ def test_a_worse_copy_hands_nothing_on(spark, bronze, tmp_path):
     assert run(page_url="/newer", loaded_at="2026-05-03T00:00:00Z") == [(1, "/first"), (2, "/newer")]
 
 
+def test_state_is_asked_once_for_each_id_of_a_part():
+    from pyspark.sql import Row
+
+    from eventmill.streaming.best_copy import MERITS, KeepBest
+
+    class State(dict):
+        asked = 0
+
+        def getValue(self, key):
+            self.asked += 1
+            return self.get(key)
+
+        updateValue = dict.__setitem__
+
+    class Handle:
+        getMapState = staticmethod(lambda *_: State())
+
+    def copies(loaded):
+        return [Row("event_id", *MERITS, "page")(f"e{n % 10}", 1, loaded + n, 0, 1, "f", n, f"/{loaded + n}") for n in range(100)]
+
+    processor = KeepBest(None, ("page",))
+    processor.init(Handle())
+    first = list(processor.handleInputRows((0,), iter(copies(0)), None))
+    assert {(r.page, r.revision) for r in first} == {(f"/{n}", 1) for n in range(90, 100)}
+    assert processor.best.asked == 10
+    assert list(processor.handleInputRows((0,), iter(copies(0)), None)) == []
+    assert {r.revision for r in processor.handleInputRows((0,), iter(copies(5)), None)} == {2}
+
+
 def test_state_expires(spark, bronze, tmp_path):
     def run(page):
         bronze({"event_id": "e", "page_url": page, "loaded_at": "2026-05-01T00:00:00Z" if page == "/late" else "2026-05-02T00:00:00Z"}).coalesce(1).write.mode("append").json(f"{tmp_path}/in")
