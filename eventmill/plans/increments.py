@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from ..functions.text import has_text
 from ..operators import silver
 from ..schemas import BRONZE
-from ..session import checkpointed, prepare
+from ..session import checkpointed, prepare, stored
 from . import layers
 from .lake import (
     DAY, LOAD, Tables, among, current_version, named_like, overwrite_days, overwrite_parts, together,
@@ -90,7 +90,7 @@ def _stored(df: DataFrame, name: str, *parts: str) -> DataFrame:
     """Rows kept apart; what an earlier attempt left there goes."""
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = df.write.format("parquet").mode("overwrite")
+    writer = df.write.format("parquet").mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*parts) if parts else writer).saveAsTable(name)
     return spark.table(name)
 
@@ -127,10 +127,10 @@ def _settle(spark: SparkSession, tables: Tables, ledger: Ledger, entry: Row) ->
     new = spark.table(f"{tables.bronze}{_NEW}{entry.place}")
     kept = spark.table(current_version(spark, tables.survivors))
     fresh = silver.classify(silver.parse(new))
-    ids = checkpointed(fresh.select("event_id").filter(has_text(F.trim("event_id"))).distinct().withColumn("part", layers.index_part(tables)))
+    ids = stored(fresh.select("event_id").filter(has_text(F.trim("event_id"))).distinct().withColumn("part", layers.index_part(tables)))
     known = rivals(spark, tables, ids)
     winners = silver.ranked(fresh.unionByName(known.select(*fresh.columns)))
-    winners = checkpointed(layers.stamped(winners).select(*kept.columns))
+    winners = stored(layers.stamped(winners).select(*kept.columns))
     touched = reduce(DataFrame.union, (rows.select(DAY) for rows in (new, known, winners))).distinct()
     days = [row[0] for row in touched.collect()]  # calendar days
     others = kept.filter(among(days)).join(ids, "event_id", "left_anti")

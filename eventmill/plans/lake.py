@@ -113,7 +113,7 @@ def write_version(df: DataFrame, table: str, parts: tuple[str, ...], order: tupl
     version = f"{table}{_VERSION}{number:06d}_{uuid.uuid4().hex[:8]}"
     dealt = df.hint("rebalance", parts[0])
     dealt = dealt.sortWithinPartitions(*order) if order else dealt
-    dealt.write.format("parquet").partitionBy(*parts).saveAsTable(version)
+    dealt.write.format("parquet").option("compression", "zstd").partitionBy(*parts).saveAsTable(version)
     return version
 
 
