@@ -323,3 +323,18 @@ def test_silver_from_the_stream_equals_silver_from_the_batch(spark, tmp_path):
         return sorted((r.event_id, r.error_code) for r in rows.collect())
 
     assert kept(streamed) == kept(batch) == [(f"e{number}", None) for number in range(7)]
+
+
+def test_batches_are_filed_compressed_and_read_back(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from eventmill.session import stored
+    from eventmill.streaming.sinks import write_batch
+
+    rows = spark.range(50).select(F.lit("2026-04-01").cast("date").alias("date"), F.format_string("line %d", "id").alias("value"))
+    write_batch(rows, f"{tmp_path}/out", "b", "text")
+    files = [p.name for p in (tmp_path / "out").rglob("part-*")]
+    assert files and all(name.endswith(".gz") for name in files)
+    assert {r.value for r in spark.read.text(f"{tmp_path}/out").collect()} == {f"line {n}" for n in range(50)}
+    kept = stored(rows)
+    assert kept.schema.simpleString() == rows.schema.simpleString() and sorted(kept.collect()) == sorted(rows.collect())
