@@ -1,21 +1,27 @@
 """Groups of documents whose five-word shingles are the same for at least four in five (Jaccard similarity).
 
-SimHash fingerprints of the shingle sets are compared by exclusive-or and bit counts, within blocks; what is at
-most RADIUS bits apart is then compared exactly, on the whole sets. Two sets of similarity 0.8 differ in 9.7 of
-64 bits on average, and in more than RADIUS about once in a million. A radius as wide as that leaves no part of
-the 64 bits that must be equal, so the blocks are not cut from the fingerprint: they are bands of min-hashes. A
-pair of similarity s shares none of its BANDS keys with probability (1 - s**ROWS)**BANDS: once in 300 000 at 0.8.
-
-Equal texts are one node. First each node is compared with the least node of its keys, which joins dense groups
-at a few comparisons a node. Keys whose nodes are then still in several components are pooled, and the nodes of a
-pool are compared in tiles: each brings its shingle set along once for a pool of one tile, and once for each tile
-of a larger one. A task takes a pair of tiles, goes through them by the bit counts of the fingerprints, passes
-over what is already joined, and hands on the links that join components. So pairs are never rows; the
-comparisons of a pool, and its sets that are sent, grow with the square of its tiles only.
+A text's SimHash fingerprint has as many 64-bit words as its keys need: the first word takes the shingles' hashes, each
+other one these hashes mixed anew. The bits are cut into keys of a few bits, and texts meet where a key is equal. Two
+sets of similarity 0.8 differ in 9.7 of 64 bits on average, and at worst, sets of four and five, in 12. There are
+as many keys as it takes for such a pair to share none at most MISSED times. With more documents keys have more bits,
+so that of unrelated texts some BUCKET at most meet on one, and there are more of them.
+
+The nodes of a key are compared by size, exclusive-or and bit counts: the first word within RADIUS bits (a pair of
+similarity 0.8 lies beyond it about once in a million; sets of four and five shingles once in some 7000), the first
+NEAR_WORDS within NEAR. A task hands on links that join what is near, not all near pairs; a key of more than BUCKET nodes
+is cut into tiles, and each pair of tiles is a task. Equal texts are one node.
+
+These links are compared exactly, on the whole sets. Where one of them does not hold, the components that it would have
+joined are pooled, and the nodes of a pool are compared in tiles: each brings its shingle set along once for a
+pool of one tile, and once for each tile of a larger one. A task takes a pair of tiles, goes through them by the
+bit counts of the fingerprints, passes over what is already joined, and hands on the links that join components.
+What is near but lies in different components always shares a pool. So pairs are never rows; the comparisons of a
+pool, and its sets that are sent, grow with the square of its tiles only.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,39 +34,53 @@ from .hashing import groups, mix
 from .simhash import SEED, majorities, shingle_hashes
 from .workspace import Scratch, ship
 
-SHINGLE, BANDS, ROWS, RADIUS = 5, 24, 4, 24
+SHINGLE, RADIUS = 5, 24
+#: Words of the fingerprint that go along with a key, and the bits in which those of near texts differ at most: similar
+#: sets of four and five differ in 48 on average and in more than that once in a million, unrelated texts in 128.
+NEAR_WORDS, NEAR = 4, 78
+#: How often similar sets may share no key, at the share of equal bits of the worst of them (sets of four and five).
+MISSED, EQUAL_BITS = 4e-6, 0.8125
+#: Nodes of a key that one task compares; keys have LEAST_BITS at least.
+BUCKET, LEAST_BITS = 1 << 16, 4
 #: The least similarity, as a fraction.
 SAME, OF = 4, 5
 #: Shingles of a tile; a node counts as NODE more. It bounds a task's memory, not what is compared.
 TILE, NODE = 1 << 20, 64
 #: Fingerprints compared at once with all that follow them.
 BLOCK = 256
+#: Of a key's nodes, those that a block is compared with at once.
+SPAN = 1 << 12
 _LAST = (1 << 63) - 1
-_WAYS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64)).reshape(2, -1)
 
 
-def band_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A row of BANDS keys for each stretch of hashes; wordless texts meet on one key a band."""
-    out = np.zeros((len(sizes), BANDS), dtype=np.uint64)
-    full = np.flatnonzero(sizes)
-    starts = (np.cumsum(sizes) - sizes)[full]
-    for band in range(BANDS):
-        key = np.full(len(sizes), mix(np.array([band + 1], dtype=np.uint64))[0])
-        for way in range(band * ROWS, (band + 1) * ROWS):
-            if len(full):
-                least = np.minimum.reduceat((hashes ^ _WAYS[0, way]) * (_WAYS[1, way] | np.uint64(1)), starts)
-                key[full] = mix(key[full] + least)
-        out[:, band] = key
-    return out
+def key_layout(documents: int, bucket: int = BUCKET) -> tuple[int, int]:
+    """How many keys a fingerprint is cut into, and of how many bits each."""
+    bits = max(LEAST_BITS, math.ceil(math.log2(max(1, documents) / bucket)))
+    return math.ceil(math.log(MISSED) / math.log1p(-(EQUAL_BITS**bits))), bits
+
+
+def wide_prints(hashes: np.ndarray, sizes: np.ndarray, words: int) -> np.ndarray:
+    """A row of that many SimHash words for each stretch of hashes."""
+    salts = mix(np.arange(1, words, dtype=np.uint64))
+    return np.stack([majorities(hashes, sizes), *(majorities(mix(hashes ^ s), sizes) for s in salts)], axis=1)
+
+
+def bit_keys(prints: np.ndarray, keys: int, bits: int) -> np.ndarray:
+    """The fingerprints' bits, that many a key, in a row of keys each; the key's number stands above its bits."""
+    flat = np.unpackbits(np.ascontiguousarray(prints.astype(">u8")).view(np.uint8).reshape(len(prints), -1), axis=1)
+    cut = flat[:, : keys * bits].reshape(len(prints), keys, bits)
+    return cut @ (1 << np.arange(bits, dtype=np.int64)) + (np.arange(keys, dtype=np.int64) << bits)
 
 
 def _shingles(text: bytes) -> np.ndarray:
     return np.unique(np.array(shingle_hashes(text, SHINGLE, SEED), dtype=np.uint64))
 
 
-def _prints(documents: DataFrame) -> DataFrame:
-    """(node, print, size, keys) of each text: its set's fingerprint, number of shingles, and band keys."""
+def _prints(documents: DataFrame, keys: int, bits: int) -> DataFrame:
+    """(node, print, more, size, keys) of each text: its set's fingerprint (the first word, those after it that go along
+    with a key), number of shingles, and keys."""
     ship(documents.sparkSession)
+    words = max(NEAR_WORDS, -(-keys * bits // 64))
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -68,13 +88,18 @@ def _prints(documents: DataFrame) -> DataFrame:
             for low, high in groups([len(t) for t in texts]):
                 sets = [_shingles(t) for t in texts[low:high]]
                 sizes = np.array([len(x) for x in sets])
-                every = np.concatenate([*sets, np.zeros(0, dtype=np.uint64)])
-                keys = arrow.signed(band_keys(every, sizes).ravel())
-                ends = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS)
-                yield arrow.batch(node=nodes[low:high], print=arrow.signed(majorities(every, sizes)), size=sizes.astype(np.int64),
-                                  keys=pa.ListArray.from_arrays(ends, pa.array(keys)))
+                wide = wide_prints(np.concatenate([*sets, np.zeros(0, dtype=np.uint64)]), sizes, words)
+                more = pa.array(arrow.signed(wide[:, 1:NEAR_WORDS].copy()).ravel())
+                cut = pa.array(bit_keys(wide, keys, bits).ravel())
+                yield arrow.batch(node=nodes[low:high], print=arrow.signed(wide[:, 0].copy()), more=_rows(more, len(sets), NEAR_WORDS - 1),
+                                  size=sizes.astype(np.int64), keys=_rows(cut, len(sets), keys))
+
+    schema = "node long, print long, more array<long>, size long, keys array<long>"
+    return documents.select("node", "text").mapInArrow(prints, schema)
 
-    return documents.select("node", "text").mapInArrow(prints, "node long, print long, size long, keys array<long>")
+
+def _rows(values: pa.Array, rows: int, width: int) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width), values)
 
 
 def _sets(documents: DataFrame) -> DataFrame:
@@ -96,20 +121,81 @@ def _enough(same: Column, a: Column, b: Column) -> Column:
     return same * OF >= (a + b - same) * SAME
 
 
-def _similar(pairs: DataFrame, prints: DataFrame, documents: DataFrame, scratch: Scratch) -> DataFrame:
-    """Of the (u, v), those similar enough; stored."""
-    ends = [prints.select(F.col("node").alias(end), F.col("print").alias(f"{end}_print"), F.col("size").alias(f"{end}_size")) for end in "uv"]
-    near = pairs.join(ends[0], "u").join(ends[1], "v")
-    near = near.where(F.bit_count(F.col("u_print").bitwiseXOR(F.col("v_print"))) <= RADIUS)
-    near = near.where(_enough(F.least("u_size", "v_size"), F.col("u_size"), F.col("v_size"))).select("u", "v")
-    near = scratch.store(near, "near-copy-pairs")
+def near_links(nodes: np.ndarray, prints: np.ndarray, sizes: np.ndarray, tiles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join all components of near fingerprints (rows of NEAR_WORDS) of one tile, or of two tiles across."""
+    order = np.lexsort((nodes, sizes))
+    nodes, prints, sizes, tiles = nodes[order], prints[order], sizes[order], tiles[order]
+    first = np.ascontiguousarray(prints[:, 0])
+    ends = np.searchsorted(sizes * SAME, sizes * OF, side="right")
+    across = (tiles != tiles[:1]).any()
+    label = np.arange(len(nodes))
+    members = {}  # of the labels that have several
+    u, v = [], []
+    for low in range(0, len(nodes), BLOCK):
+        high = min(low + BLOCK, len(nodes))
+        for start in range(low, int(ends[high - 1]), SPAN):
+            stop = min(start + SPAN, int(ends[high - 1]))
+            joined = label[start:stop]
+            if label[low] == joined[0] and (label[low:high] == label[low]).all() and (joined == label[low]).all():
+                continue
+            close = np.bitwise_count(first[low:high, None] ^ first[start:stop]) <= RADIUS
+            a, b = np.divmod(np.flatnonzero(close), stop - start)
+            a, b = a + low, b + start
+            fit = (a < b) & (b < ends[a]) & (label[a] != label[b])
+            if across:
+                fit &= tiles[a] != tiles[b]
+            a, b = a[fit], b[fit]
+            fit = np.bitwise_count(prints[a] ^ prints[b]).sum(axis=1) <= NEAR
+            a, b = a[fit], b[fit]
+            while len(a):  # the first node that has one to join joins all of its own
+                row = a[0]
+                own = b[: np.searchsorted(a, row, side="right")]
+                names, at = np.unique(label[own], return_index=True)
+                u += [row] * len(names)
+                v += own[at].tolist()
+                parts = [members.pop(x, [x]) for x in (int(label[row]), *names.tolist())]
+                root = max(range(len(parts)), key=lambda x: len(parts[x]))
+                name, whole = int((label[row], *names)[root]), parts.pop(root)
+                for group in parts:
+                    label[group] = name
+                    whole += group
+                members[name] = whole
+                apart = label[a] != label[b]
+                a, b = a[apart], b[apart]
+    return nodes[np.array(u, dtype=np.int64)], nodes[np.array(v, dtype=np.int64)]
+
+
+def _near(prints: DataFrame, bucket: int) -> DataFrame:
+    """(u, v): links that join all that is near on a key."""
+    ship(prints.sparkSession)
+    keyed = prints.select("node", "print", "more", "size", F.explode("keys").alias("key"))
+    large = keyed.groupBy("key").count().where(F.col("count") > bucket)  # few rows: nodes times keys, over bucket, at most
+    large = large.select("key", F.ceil(F.col("count") / bucket).alias("tiles"))
+    dealt = keyed.join(F.broadcast(large), "key", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1).cast("long")))
+    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    dealt = dealt.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "print", "more", "size")
+
+    def compare(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        nodes, first, sizes, tiles = (rows.column(c).to_numpy() for c in ("node", "print", "size", "tile"))
+        more = np.concatenate([x.flatten().to_numpy(zero_copy_only=False) for x in rows.column("more").chunks])
+        wide = np.column_stack([first, more.reshape(len(first), -1)]).view(np.uint64)
+        u, v = near_links(nodes, wide, sizes, tiles)
+        return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "u long, v long").distinct()
+
+
+def _similar(near: DataFrame, documents: DataFrame, scratch: Scratch) -> DataFrame:
+    """Of the near (u, v), those similar enough; stored."""
     nodes = near.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     sets = scratch.store(_sets(documents.join(nodes, "node", "left_semi").dropDuplicates(["node"])), "near-copy-sets")
     mine, other = (sets.select(F.col("node").alias(end), F.col("shingles").alias(name)) for end, name in (("u", "a"), ("v", "b")))
     met = near.join(mine, "u").join(other, "v")
     links = met.where(_enough(F.size(F.array_intersect("a", "b")), F.size("a"), F.size("b"))).select("u", "v")
     links = scratch.store(links, "near-copy-links")
-    scratch.remove("near-copy-pairs", "near-copy-sets")
+    scratch.remove("near-copy-sets")
     return links
 
 
@@ -133,7 +219,7 @@ def tile_links(
     for at, x in enumerate(label.tolist()):
         members[x].append(at)
     ends = np.searchsorted(counts[order], counts[order] + RADIUS, side="right")
-    across = tiles.min(initial=0) != tiles.max(initial=0)
+    across = (tiles != tiles[:1]).any()
     mark = np.zeros(len(often), dtype=bool)
     u, v = [], []
     for low in range(0, len(order), BLOCK):
@@ -162,13 +248,15 @@ def tile_links(
     return nodes[np.array(u, dtype=np.int64)], nodes[np.array(v, dtype=np.int64)]
 
 
-def _across(open_: DataFrame, prints: DataFrame, documents: DataFrame, tile: int, scratch: Scratch) -> DataFrame:
-    """Links among the (key, node, root) of keys in which several components meet; stored."""
-    ship(open_.sparkSession)
-    least = open_.groupBy("key").agg(F.min("node").alias("v"))
-    joined = connected(open_.join(least, "key").select(F.col("node").alias("u"), "v"))
-    pools = joined.unionByName(joined.select(F.col("v").alias("u"), "v").distinct()).select(F.col("u").alias("node"), F.col("v").alias("pool"))
-    pools = pools.join(open_.select("node", "root").distinct(), "node").join(prints.select("node", "print", "size"), "node")
+def _across(near: DataFrame, rooted: DataFrame, prints: DataFrame, documents: DataFrame, tile: int, scratch: Scratch) -> DataFrame:
+    """Links among the nodes of components that near (u, v) would join; stored."""
+    ship(near.sparkSession)
+    ends = near.join(rooted.toDF("u", "u_root"), "u", "left").join(rooted.toDF("v", "v_root"), "v", "left")
+    ends = ends.select(F.coalesce("u_root", "u").alias("u"), F.coalesce("v_root", "v").alias("v"))
+    joined = connected(ends)
+    pools = joined.unionByName(joined.select(F.col("v").alias("u"), "v").distinct()).toDF("root", "pool")
+    nodes = near.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(rooted, "node", "left")
+    pools = nodes.select("node", F.coalesce("root", "node").alias("root")).join(pools, "root").join(prints.select("node", "print", "size"), "node")
     pools = scratch.store(pools, "near-copy-pools")
     wide = pools.groupBy("pool").agg(F.ceil(F.sum(F.col("size") + NODE) / tile).alias("tiles"))
     dealt = pools.join(wide, "pool").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
@@ -191,27 +279,21 @@ def _across(open_: DataFrame, prints: DataFrame, documents: DataFrame, tile: int
     return found
 
 
-def _components(documents: DataFrame, tile: int) -> DataFrame:
+def _components(documents: DataFrame, tile: int, bucket: int) -> DataFrame:
     """(node, root) of each node that is similar to another."""
     scratch = Scratch(documents.sparkSession)
-    prints = scratch.store(_prints(documents).dropDuplicates(["node"]), "near-copy-prints")
-    bands = prints.select("node", F.explode("keys").alias("key"))
-    shared = bands.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("last")).where("v < last").select("key", "v")
-    meeting = scratch.store(bands.join(shared, "key"), "near-copy-keys")
-    stars = meeting.where("node <> v").select(F.col("node").alias("u"), "v").distinct()
-    links = _similar(stars, prints, documents, scratch)
-    rooted = connected(links).select(F.col("u").alias("node"), F.col("v").alias("root"))
-    named = meeting.join(rooted, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    named = scratch.store(named, "near-copy-roots")
-    scratch.remove("near-copy-keys")
-    mixed = named.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
-    more = _across(named.join(mixed, "key", "left_semi"), prints, documents, tile, scratch)
+    keys, bits = key_layout(documents.count(), bucket)
+    prints = scratch.store(_prints(documents, keys, bits).dropDuplicates(["node"]), "near-copy-prints")
+    near = scratch.store(_near(prints, bucket), "near-copy-pairs")
+    links = _similar(near, documents, scratch)
+    rooted = connected(links).toDF("node", "root")
+    more = _across(near, rooted, prints, documents, tile, scratch)
     found = connected(links.unionByName(more))
-    scratch.remove("near-copy-prints", "near-copy-roots", "near-copy-links", "near-copy-more")
-    return found.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    scratch.remove("near-copy-prints", "near-copy-pairs", "near-copy-links", "near-copy-more")
+    return found.toDF("node", "root")
 
 
-def keep_one(documents: DataFrame, tile: int = TILE) -> DataFrame:
+def keep_one(documents: DataFrame, tile: int = TILE, bucket: int = BUCKET) -> DataFrame:
     """The documents, with all their columns, that come first in their component: one row of each.
 
     The first has the least doc_id, null last; of rows that share it, the least text hash. A null text is
@@ -221,7 +303,7 @@ def keep_one(documents: DataFrame, tile: int = TILE) -> DataFrame:
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
     docs = documents.select(F.struct("*").alias("row"), order.alias("__id"), F.xxhash64("text").alias("__text"))
     narrow = docs.select("__id", F.col("__text").alias("node"), F.col("row.text").alias("text"))
-    rooted = _components(narrow, tile)
+    rooted = _components(narrow, tile, bucket)
     members = narrow.groupBy("node").agg(F.min("__id").alias("__id"))
     members = members.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = members.groupBy("root").agg(F.min(F.struct("__id", "node")).alias("x"))

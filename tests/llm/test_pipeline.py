@@ -187,3 +187,106 @@ def test_tile_links_join_what_all_pairs_join():
         assert {tuple(sorted(x, reverse=True)) for x in mine.tolist()} <= set(pairs)
         want = roots(len(sets), *np.array(pairs).T)
         assert (roots(len(sets), *mine.T) == want).all() and len(mine) == len(sets) - len(set(want.tolist()))
+
+
+def fingerprints_of(sets):
+    import numpy as np
+
+    from eventmill.llm.near_copies import NEAR_WORDS, wide_prints
+
+    sizes = np.array([len(s) for s in sets])
+    return wide_prints(np.concatenate(sets), sizes, NEAR_WORDS), sizes
+
+
+def test_tile_links_within_a_later_tile():
+    import numpy as np
+
+    from eventmill.llm.near_copies import near_links, tile_links
+
+    sets = [np.random.default_rng(3).integers(0, 1 << 63, 50, dtype=np.uint64)] * 2
+    wide, sizes = fingerprints_of(sets)
+    nodes, later = np.array([8, 9]), np.array([3, 3])
+    values = np.concatenate(sets).view(np.int64)
+    assert [x.tolist() for x in tile_links(nodes, nodes, wide[:, 0], later, values, sizes)] == [[8], [9]]
+    assert [x.tolist() for x in near_links(nodes, wide, sizes, later)] == [[8], [9]]
+    assert not len(tile_links(nodes, nodes, wide[:, 0], np.array([3, 3]), np.arange(100), sizes)[0])
+
+
+def test_near_links_join_what_all_pairs_join(monkeypatch):
+    import numpy as np
+
+    from eventmill.llm import near_copies
+    from eventmill.llm.simhash import roots
+
+    rng = np.random.default_rng(17)
+    sets = []
+    for n in (4, 40, 400):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for _ in range(60):
+            own = rng.integers(0, 1 << 63, rng.integers(0, n // 3 + 1), dtype=np.uint64)
+            sets.append(np.r_[rng.permutation(base)[len(own) // 2 :], own])
+    sets += [np.zeros(0, dtype=np.uint64)] * 2
+    wide, sizes = fingerprints_of(sets)
+    nodes = rng.permutation(len(sets)).astype(np.int64)
+    place = np.argsort(nodes)
+    for block, span in ((256, 4096), (7, 11)):
+        monkeypatch.setattr(near_copies, "BLOCK", block)
+        monkeypatch.setattr(near_copies, "SPAN", span)
+        for tiles in (np.full(len(sets), 2), rng.integers(0, 2, len(sets))):
+            near = np.bitwise_count(wide[:, None] ^ wide)
+            near = (near[:, :, 0] <= near_copies.RADIUS) & (near.sum(axis=2) <= near_copies.NEAR)
+            near &= 5 * np.minimum(sizes[:, None], sizes) >= 4 * np.maximum(sizes[:, None], sizes)
+            near &= (tiles[:, None] != tiles) | (tiles.min() == tiles.max())
+            u, v = (place[x] for x in near_copies.near_links(nodes, wide, sizes, tiles))
+            want = roots(len(sets), *np.nonzero(near))
+            assert near[u, v].all() and (roots(len(sets), u, v) == want).all()
+            assert len(u) == len(sets) - len(set(want.tolist()))
+
+
+def test_keys_of_simhash_bits_find_what_is_similar():
+    import numpy as np
+
+    from eventmill.llm.near_copies import BUCKET, bit_keys, key_layout, wide_prints
+
+    rng = np.random.default_rng(23)
+    assert key_layout(0) == key_layout(1000) and key_layout(100 * BUCKET)[1] == 7
+    for documents in (1000, 100 * BUCKET):
+        keys, bits = key_layout(documents)
+        for n, own in ((4, 0), (9, 1), (90, 10)):  # four of five, eight of ten, eighty of a hundred
+            sets = []
+            for _ in range(300):
+                base = rng.integers(0, 1 << 63, n + max(1, own), dtype=np.uint64)
+                sets += [base[:n], base[own:]]
+            sizes = np.array([len(s) for s in sets])
+            cut = bit_keys(wide_prints(np.concatenate(sets), sizes, -(-keys * bits // 64)), keys, bits)
+            assert cut.shape == (600, keys) and (cut >> bits == np.arange(keys)).all()
+            assert (cut[::2] == cut[1::2]).any(axis=1).all()
+            assert (cut[::2] == np.roll(cut[1::2], 1, axis=0)).mean() < 2 / 2**bits
+
+
+def test_near_dedup_takes_its_candidates_from_simhash(spark, folder, monkeypatch):
+    from eventmill.llm import near_copies
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    scratch, seen = near_copies.Scratch.store, {}
+    monkeypatch.setattr(near_copies.Scratch, "store", lambda self, rows, label: seen.setdefault(label, scratch(self, rows, label)))
+    monkeypatch.setattr(near_copies.Scratch, "remove", lambda self, *labels: None)
+    near_copies.keep_one(docs, bucket=20).count()
+    prints = {r.node: r for r in seen["near-copy-prints"].collect()}
+    pairs = seen["near-copy-pairs"].collect()
+    assert pairs and all(set(prints[r.u]["keys"]) & set(prints[r.v]["keys"]) for r in pairs)
+    for r in pairs:
+        words = [[x % (1 << 64) for x in (prints[n].print, *prints[n].more)] for n in (r.u, r.v)]
+        assert (words[0][0] ^ words[1][0]).bit_count() <= near_copies.RADIUS
+        assert sum((a ^ b).bit_count() for a, b in zip(*words)) <= near_copies.NEAR
+
+
+@pytest.mark.parametrize("bucket", [6, 25])
+def test_near_dedup_of_keys_in_tiles(spark, bucket):
+    from eventmill.llm.near_copies import keep_one
+
+    rng = random.Random(6)
+    texts = [*near_group(rng, 50, (2, 3, 4, 5, 6)), *(f"no such text {i} " * 4 for i in range(5)), None, "", " "]
+    rows = [(i, t, "en", "src", 1) for i, t in enumerate(texts)]
+    found = {r.doc_id for r in keep_one(documents(spark, rows), 3000, bucket).collect()}
+    assert found == brute_near(rows) and len(found) > 10
