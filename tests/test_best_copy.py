@@ -82,6 +82,106 @@ def test_state_is_asked_once_for_each_id_of_a_part():
     assert {r.revision for r in processor.handleInputRows((0,), iter(copies(5)), None)} == {2}
 
 
+class Remembered(dict):
+    """State variables of one part, as the processors use them."""
+
+    asked, value = 0, None
+
+    def getValue(self, key):
+        self.asked += 1
+        return dict.get(self, key)
+
+    updateValue = dict.__setitem__
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+class Handle:
+    getMapState = getValueState = staticmethod(lambda *_: Remembered())
+
+
+def paged(batches):
+    """The processor by pages, and what it hands on of each batch: (event_id, page, revision); a batch is frames of (event_id, loaded, page)."""
+    import pandas as pd
+
+    from eventmill.streaming.best_copy import MERITS, KeepBestByPages
+
+    processor = KeepBestByPages(("page",))
+    processor.init(Handle())
+    handed_on = []
+    for batch in batches:
+        frames = (pd.DataFrame([(n, 1, loaded, 0, 1, "f", 0, page) for n, loaded, page in rows], columns=["event_id", *MERITS, "page"]) for rows in batch)
+        handed_on.append(sorted((r.page, r.revision) for frame in processor.handleInputRows((0,), frames, None) for r in frame.itertuples()))
+    return processor, handed_on
+
+
+def test_state_without_expiry_is_asked_once_for_each_page():
+    def copies(ids, loaded):
+        return [[(f"e{n}", loaded, f"/{n}/{loaded}") for n in part] for part in (ids[::2], ids[1::2])]
+
+    few, many = range(100), range(5000)
+    processor, handed_on = paged([copies(few, 5), copies(many, 4), copies(many, 4), copies(many, 6)])
+    assert handed_on[0] == sorted((f"/{n}/5", 1) for n in few)
+    assert handed_on[1] == sorted((f"/{n}/4", 1) for n in range(100, 5000))
+    assert handed_on[2] == []
+    assert handed_on[3] == sorted((f"/{n}/6", 2) for n in many)
+    ids, pages = processor.size.value
+    assert ids == 5000 and len(processor.pages) == pages == 32  # 16 of 512 would do; a batch of copies counts as new ids
+    assert processor.pages.asked <= 1 + 4 * pages
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_paged_state_equals_a_plain_one(seed, monkeypatch):
+    from eventmill.streaming import best_copy
+
+    monkeypatch.setattr(best_copy, "PAGE", 4)
+    rng, known, wanted, batches, serial = random.Random(seed), {}, [], [], 0
+    for size in (3, 40, 1, 90):
+        batch, best = [], {}
+        for _ in range(3):
+            rows = []
+            for _ in range(size):
+                serial += 1
+                event_id, loaded = rng.choice(["", *(f"e{n}" for n in range(2 * size))]), rng.randrange(9)
+                rows.append((event_id, loaded, f"/{serial}"))
+                if event_id and loaded > best.get(event_id, (-1,))[0]:
+                    best[event_id] = loaded, f"/{serial}"
+            batch.append(rows)
+        of_batch = [(page, 1) for rows in batch for event_id, _, page in rows if not event_id]
+        for event_id, (loaded, page) in best.items():
+            old, revision = known.get(event_id, (-1, 0))
+            if loaded > old:
+                known[event_id] = loaded, revision + 1
+                of_batch.append((page, revision + 1))
+        batches.append(batch)
+        wanted.append(sorted(of_batch))
+    processor, handed_on = paged(batches)
+    assert handed_on == wanted and processor.size.value[0] == len(known)
+
+
+def test_rows_without_an_id_go_on_beside_state_that_expires():
+    from pyspark.sql import Row
+
+    from eventmill.streaming.best_copy import MERITS, KeepBest
+
+    processor = KeepBest(1000, ("page",))
+    processor.init(Handle())
+    rows = [Row("event_id", *MERITS, "page")(event_id, 1, n, 0, 1, "f", 0, f"/{n}") for n, event_id in enumerate(["", "e", "", "e"])]
+    assert [(r.page, r.revision) for r in processor.handleInputRows((0,), iter(rows), None)] == [("/0", 1), ("/2", 1), ("/3", 1)]
+
+
+def test_the_source_is_read_once(spark, bronze, tmp_path):
+    rows = copies(3)
+    bronze(*rows).coalesce(1).write.json(f"{tmp_path}/in")
+    query = keep_best_copies(read_bronze_stream(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/state")
+    query.awaitTermination()
+    assert sum(progress.numInputRows for progress in query.recentProgress) == len(rows)
+
+
 def test_state_expires(spark, bronze, tmp_path):
     def run(page):
         bronze({"event_id": "e", "page_url": page, "loaded_at": "2026-05-01T00:00:00Z" if page == "/late" else "2026-05-02T00:00:00Z"}).coalesce(1).write.mode("append").json(f"{tmp_path}/in")
